@@ -40,3 +40,10 @@ SCHEMAS = {
         "docid STRING, docpg INT, line_id INT, word_id INT, text STRING, x0 INT, y0 INT, x1 INT, y1 INT, conf INT"
     ),
 }
+
+
+def spread(df: DataFrame, waves: int = 3) -> DataFrame:
+    """``df`` over at least ``waves`` partitions a core, so that few large files don't leave
+    cores idle in row-by-row Python steps. Reads the plan only; well split inputs stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(waves * cores) if df.rdd.getNumPartitions() < waves * cores else df
