@@ -14,7 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paperloom.operators.form_keys import heading_key, one_deletes
+from paperloom.operators.form_keys import heading_key
+from paperloom.session import written
 
 #: The form columns whose texts come from scanned prose.
 PROSE_COLUMNS = ("Initial / Intake Allegation", "Allegation", "Description of Incident", "Narrative", "Remarks")
@@ -177,31 +178,29 @@ def corrections(rights: DataFrame) -> DataFrame:
 
 
 def noise_found(report_extract: DataFrame, cells: DataFrame) -> DataFrame:
-    """src, rec_id, kind, token (distinct): kinds split, misread and furniture."""
-    marked = marked_lines(text_lines(scanned_texts(report_extract, cells)))
-    return _found(marked)
-
-
-def _found(marked: DataFrame) -> DataFrame:
-    forms = token_forms(reflowed_tokens(marked))
-    rights = right_forms(forms)
-    fix = corrections(rights)
-    furniture = marked.where(F.col("furniture")).select(*KEYS, F.lit("furniture").alias("kind"), F.col("line").alias("token"))
-    whole = forms.where(~F.col("split")).select(*KEYS, "form").distinct()
-    misread = whole.join(fix, "form").select(*KEYS, F.lit("misread").alias("kind"), F.col("right").alias("token"))
-    broken = forms.where("split").select(*KEYS, "form", "alt", "half").distinct()
-    a, b = rights.select("form", F.col("right").alias("r1"), F.col("n").alias("n1")), rights.select(F.col("form").alias("alt"), F.col("right").alias("r2"), F.col("n").alias("n2"))
+    """src, rec_id, kind, token (distinct): kinds split, misread and furniture.
+
+    The marked lines, each text's distinct forms and the right forms are written once each.
+    """
+    marked = written(marked_lines(text_lines(scanned_texts(report_extract, cells))))
+    forms = written(token_forms(reflowed_tokens(marked)).select(*KEYS, "copy", "split", "form", "half", "alt").distinct())
+    rights = written(right_forms(forms))
+    furniture = marked.where("furniture").select(*KEYS, F.lit("furniture").alias("kind"), F.col("line").alias("token"))
+    whole = forms.where(~F.col("split")).select(*KEYS, "form")
+    misread = whole.join(corrections(rights), "form").select(*KEYS, F.lit("misread").alias("kind"), F.col("right").alias("token"))
+    broken = forms.where("split").select(*KEYS, "form", "alt", "half")
+    a = rights.select("form", F.col("right").alias("r1"), F.col("n").alias("n1"))
+    b = rights.select(F.col("form").alias("alt"), F.col("right").alias("r2"), F.col("n").alias("n2"))
     c = rights.select(F.col("form").alias("half"), F.col("n").alias("n3"))
     joined = broken.join(a, "form", "left").join(b, "alt", "left").join(c, "half", "left")
     # an unknown word whose second half is a word itself: the text lost words after the line end
     joined = joined.where(F.coalesce("n1", "n2").isNotNull() | (F.col("n3").isNull() & F.col("form").rlike(_WORD)))
     hyphen = F.coalesce(F.col("n2"), F.lit(0)) > F.coalesce(F.col("n1"), F.lit(0))
     token = F.when(hyphen, F.col("r2")).otherwise(F.coalesce(F.col("r1"), F.col("form")))
-    written = F.when(hyphen, F.col("alt")).otherwise(F.col("form"))
-    halves = joined.select(*KEYS, token.alias("token"), (token != written).alias("wrong"))
-    split = halves.select(*KEYS, F.lit("split").alias("kind"), "token")
-    both = halves.where("wrong").select(*KEYS, F.lit("misread").alias("kind"), "token")
-    return furniture.unionByName(misread).unionByName(split).unionByName(both).distinct()
+    wrong = token != F.when(hyphen, F.col("alt")).otherwise(F.col("form"))
+    kinds = F.when(wrong, F.array(F.lit("split"), F.lit("misread"))).otherwise(F.array(F.lit("split")))
+    halves = joined.select(*KEYS, F.explode(kinds).alias("kind"), token.alias("token"))
+    return furniture.unionByName(misread).unionByName(halves).distinct()
 
 
 def repaired_texts(report_extract: DataFrame, cells: DataFrame) -> DataFrame:
@@ -211,21 +210,20 @@ def repaired_texts(report_extract: DataFrame, cells: DataFrame) -> DataFrame:
     Empty lines part paragraphs. Texts of one id that differ come out as one row each.
     """
     lines = text_lines(scanned_texts(report_extract, cells))
-    marked = marked_lines(lines)
-    forms = token_forms(reflowed_tokens(marked))
-    rights = right_forms(forms)
+    forms = written(token_forms(reflowed_tokens(marked_lines(lines))))
+    rights = written(right_forms(forms))
     w = Window.partitionBy(*KEYS, "copy").orderBy("ln").rowsBetween(Window.unboundedPreceding, 0)
     paragraphs = lines.withColumn("par", F.count(F.when(F.col("line") == "", 1)).over(w)).select(*KEYS, "copy", "ln", "par").distinct()
     a = rights.select("form", F.col("right").alias("r1"), F.col("n").alias("n1"))
     b = rights.select(F.col("form").alias("alt"), F.col("right").alias("r2"), F.col("n").alias("n2"))
     rows = forms.join(a, "form", "left").join(b, "alt", "left").join(paragraphs, [*KEYS, "copy", "ln"])
     hyphen = F.col("split") & (F.coalesce("n2", F.lit(0)) > F.coalesce("n1", F.lit(0)))
-    written = F.when(hyphen, F.col("alt")).otherwise(F.col("form"))
-    right = F.coalesce(F.when(hyphen, F.col("r2")).otherwise(F.col("r1")), written)
+    as_read = F.when(hyphen, F.col("alt")).otherwise(F.col("form"))
+    right = F.coalesce(F.when(hyphen, F.col("r2")).otherwise(F.col("r1")), as_read)
     plain = F.replace("token", F.lit(_MARK), F.when(hyphen, F.lit("-")).otherwise(F.lit("")))
     body = F.regexp_extract(plain, f"^(?:{_EDGE})?(.*?)(?:{_EDGE})?$", 1)
     cased = F.when((F.length(body) > 1) & (F.upper(body) == body), F.upper(right)).when(body.rlike(r"^\p{Lu}"), F.initcap(right)).otherwise(right)
-    fixed = F.when((right != written) & (body != ""), F.replace(plain, body, cased)).otherwise(plain)
+    fixed = F.when((right != as_read) & (body != ""), F.replace(plain, body, cased)).otherwise(plain)
     tokens = rows.groupBy(*KEYS, "copy", "par").agg(F.sort_array(F.collect_list(F.struct("ln", "pos", fixed.alias("t")))).alias("ts"))
     parts = tokens.withColumn("p", F.array_join(F.transform("ts", lambda x: x["t"]), " "))
     return parts.groupBy(*KEYS, "copy").agg(
