@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import itertools
 import os
 import tempfile
 
@@ -26,19 +28,52 @@ def build_session(name: str = "paperloom", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the reliable checkpoint folder and return the written copy.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share: what the cluster names in ``spark.checkpoint.dir``.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only where that
-    setting is absent (tests on one machine) is a local folder set up instead.
+    Only where that setting is absent (tests on one machine) a local folder stands in.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        named = os.path.join(tempfile.gettempdir(), "paperloom-checkpoints")
+    return named
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Checkpoint ``df`` reliably and return the written copy, partition by partition the same."""
+    context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        if not named:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            named = os.path.join(tempfile.gettempdir(), "paperloom-checkpoints")
-        context.setCheckpointDir(named)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+_serial = itertools.count()
+_cleaned: set[str] = set()
+
+
+def written(df: DataFrame) -> DataFrame:
+    """Write ``df`` once as a Parquet table in the shared folder and return that table.
+
+    For results that several later steps read: the plan behind them is not run or planned
+    again, and a lost executor costs no recomputation. The tables of an application are deleted
+    when its driver ends.
+    """
+    spark = df.sparkSession
+    home = f"{shared_folder(spark)}/paperloom-tables-{spark.sparkContext.applicationId}"
+    path = f"{home}/{os.getpid()}-{next(_serial)}"
+    df.write.parquet(path)
+    if home not in _cleaned:
+        _cleaned.add(home)
+        atexit.register(_delete, spark, home)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    try:
+        jvm = spark.sparkContext._jvm
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    except Exception:  # the session may be gone already
+        pass
