@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paperloom.llm import leakage, page_noise, places, reading_level, survivors, tokenize
+from paperloom.llm import leakage, near_copies, page_noise, places, reading_level, survivors, tokenize
 from paperloom.tables import read_table
 
 
@@ -22,6 +22,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p1_found": _tables("cr_summary_data_temp", "cr_pdfs", "cr_pdf_pages", "form_columns", "report_extract")(survivors.best_of_cells),
         "p2_found": _tables("report_extract", "cr_summary_data_temp")(page_noise.noise_found),
         "p2_repaired": _tables("report_extract", "cr_summary_data_temp")(page_noise.repaired_texts),
+        "p4_found": _tables("cr_summary_data_temp", "cr_pdfs", "form_columns")(near_copies.near_copies),
+        "p4_classes": _tables("cr_summary_data_temp", "cr_pdfs", "form_columns")(near_copies.copy_classes),
         "p7_found": _tables("summary_logs")(places.same_places),
         "p8_ids": _tables("documents")(tokenize.token_ids),
         "p9_found": _tables("documents", "eval_items")(leakage.leaks_found),
