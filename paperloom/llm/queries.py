@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paperloom.llm import leakage, name_variants, near_copies, page_noise, places, reading_level, survivors, tokenize
+from paperloom.llm import leakage, name_variants, near_copies, page_noise, personal_data, places, reading_level, survivors, tokenize
 from paperloom.tables import read_table
 
 
@@ -24,6 +24,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p2_repaired": _tables("report_extract", "cr_summary_data_temp")(page_noise.repaired_texts),
         "p4_found": _tables("cr_summary_data_temp", "cr_pdfs", "form_columns")(near_copies.near_copies),
         "p4_classes": _tables("cr_summary_data_temp", "cr_pdfs", "form_columns")(near_copies.copy_classes),
+        "p5_found": _tables("report_extract")(personal_data.personal_stretches),
+        "p5_masked": _tables("report_extract")(personal_data.masked_texts),
         "p6_found": _tables("summary_logs")(name_variants.same_names),
         "p7_found": _tables("summary_logs")(places.same_places),
         "p8_ids": _tables("documents")(tokenize.token_ids),
