@@ -21,6 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from paperloom.operators.runs import map_runs
 from paperloom.session import written
 from paperloom.tables import spread
 
@@ -209,14 +210,14 @@ def spelling_heads(names: DataFrame, block: list[str], word: str = "name", count
     return heads.select(*block, word, "head")
 
 
-def _divide(part: pd.DataFrame) -> pd.DataFrame:
+def _divide(key: tuple, rows: list[tuple]) -> list[tuple]:
     """Give the component combinations of one number and street their place (a counter)."""
-    part = part.assign(known=(part["dir"] != "").astype(int) * 2 + (part["type"] != "").astype(int) * 2 + (part["zip"] != "").astype(int))
-    part = part.sort_values(["known", "n", "dir", "type", "town", "zip"], ascending=[False, False, True, True, True, True])
+    parts = ("dir", "type", "town", "zip")
+    rows = sorted(rows, key=lambda r: (-(2 * (r[0] != "") + 2 * (r[1] != "") + (r[3] != "")), -r[4], r[:4]))
     places: list[dict] = []
     out = []
-    for r in part.itertuples(index=False):
-        own = {"dir": r.dir, "type": r.type, "zip": r.zip, "town": r.town}
+    for r in rows:
+        own = dict(zip(parts, r))
         fits = [p for p in places if all(not v or not p[k] or p[k] == v for k, v in own.items())]
         if fits:
             best = max(fits, key=lambda p: p["n"])
@@ -225,9 +226,9 @@ def _divide(part: pd.DataFrame) -> pd.DataFrame:
         else:
             best = {**own, "n": 0, "id": len(places)}
             places.append(best)
-        best["n"] += r.n
-        out.append(best["id"])
-    return part.assign(place=pd.Series(out, index=part.index, dtype="int32"))[["num", "head", "dir", "type", "town", "zip", "place"]]
+        best["n"] += r[4]
+        out.append((*key, *r[:4], best["id"]))
+    return out
 
 
 def address_places(rows: DataFrame) -> DataFrame:
@@ -240,7 +241,7 @@ def address_places(rows: DataFrame) -> DataFrame:
     houses = written(houses.join(spelling_heads(names, ["num"]), ["num", "name"]))
     # at most directions x types x towns x codes combinations a group, however many rows
     combos = houses.groupBy("num", "head", "dir", "type", "town", "zip").agg(F.sum("n").alias("n"))
-    placed = combos.groupBy("num", "head").applyInPandas(_divide, "num string, head string, dir string, type string, town string, zip string, place int")
+    placed = map_runs(combos, ["num", "head"], ["dir", "type", "town", "zip", "n"], _divide, "num string, head string, dir string, type string, town string, zip string, place int")
     houses = houses.join(placed, ["num", "head", "dir", "type", "town", "zip"]).select(
         "raw", F.concat_ws("|", F.lit("b"), "num", "head", "place").alias("place_id")
     )
