@@ -49,22 +49,17 @@ def osa(a: str | None, b: str | None) -> int | None:
     return rows[-1][-1]
 
 
-@F.pandas_udf("int")
-def _osa_udf(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([osa(x, y) for x, y in zip(a, b)], dtype="Int64")
+def osa_below(a: Column, b: Column, limit: int) -> Column:
+    """OSA distance under ``limit``. Levenshtein (never below OSA, at most twice it) decides
+    nearly all pairs in the JVM; Python measures only those between."""
 
+    def measure(x: pd.Series, y: pd.Series, undecided: pd.Series) -> pd.Series:
+        return pd.Series([osa(p, q) < limit if u else None for p, q, u in zip(x, y, undecided)], dtype="boolean")
 
-def osa_below(a: Column, b: Column, limit: int) -> Column:
-    """OSA distance under ``limit``. Lengths, then Levenshtein (never below OSA, at most twice
-    it) decide nearly all pairs; only the rest reaches Python."""
     lev = F.levenshtein(a, b)
-    return (
-        F.when(a.isNull() | b.isNull(), F.lit(None).cast("boolean"))
-        .when(F.abs(F.length(a) - F.length(b)) >= limit, False)
-        .when(lev < limit, True)
-        .when(lev > 2 * (limit - 1), False)
-        .otherwise(_osa_udf(a, b) < limit)
-    )
+    between = F.coalesce((F.abs(F.length(a) - F.length(b)) < limit) & (lev >= limit) & (lev <= 2 * (limit - 1)), F.lit(False))
+    rest = F.pandas_udf(measure, "boolean")(F.when(between, a), b, between)
+    return F.when(a.isNull() | b.isNull(), F.lit(None).cast("boolean")).when(lev < limit, True).when(between, rest).otherwise(False)
 
 
 def qgrams(text: Column, q: int) -> Column:
@@ -74,22 +69,35 @@ def qgrams(text: Column, q: int) -> Column:
     )
 
 
+def bind(values: list[Column], body) -> Column:
+    """``body(*values)`` with each value evaluated once, however often the body uses it."""
+    packed = F.struct(*[v.alias(f"v{i}") for i, v in enumerate(values)])
+    return F.element_at(F.transform(F.array(packed), lambda s: body(*[s[f"v{i}"] for i in range(len(values))])), 1)
+
+
 def qgram_jaccard_distance(a: Column, b: Column, q: int) -> Column:
     """1 - shared distinct q-grams over all; 1 where a text is shorter than q, 0 if both are equal."""
-    x, y = F.array_distinct(qgrams(a, q)), F.array_distinct(qgrams(b, q))
-    return F.when(a == b, 0.0).otherwise(1 - set_similarity(x, y))
+    measured = bind([F.array_distinct(qgrams(a, q)), F.array_distinct(qgrams(b, q))], lambda x, y: 1 - set_similarity(x, y))
+    return F.when(a == b, 0.0).otherwise(measured)
 
 
 def qgram_cosine_distance(a: Column, b: Column, q: int) -> Column:
-    """1 - cosine of the q-gram counts; 1 where a text is shorter than q, 0 if both are equal."""
-    x, y = qgrams(a, q), qgrams(b, q)
+    """1 - cosine of the q-gram counts; 1 where a text is shorter than q, 0 if both are equal.
 
+    For single pairs; to compare many texts with a list, join on the grams instead.
+    """
     def count(grams: Column, g: Column) -> Column:
         return F.size(F.filter(grams, lambda h: h == g)).cast("double")
 
-    dot = F.aggregate(F.array_intersect(x, y), F.lit(0.0), lambda s, g: s + count(x, g) * count(y, g))
-    norm = lambda grams: F.sqrt(F.aggregate(F.array_distinct(grams), F.lit(0.0), lambda s, g: s + count(grams, g) * count(grams, g)))
-    return F.when(a == b, 0.0).otherwise(1 - F.coalesce(dot / F.nullif(norm(x) * norm(y), F.lit(0.0)), F.lit(0.0)))
+    def squares(grams: Column) -> Column:
+        # each occurrence of a gram adds its count, so the sum is that of the squared counts
+        return F.aggregate(grams, F.lit(0.0), lambda s, g: s + count(grams, g))
+
+    def measure(x: Column, y: Column) -> Column:
+        dot = F.aggregate(x, F.lit(0.0), lambda s, g: s + count(y, g))
+        return 1 - F.coalesce(dot / F.nullif(F.sqrt(squares(x) * squares(y)), F.lit(0.0)), F.lit(0.0))
+
+    return F.when(a == b, 0.0).otherwise(bind([qgrams(a, q), qgrams(b, q)], measure))
 
 
 def squish(text: Column) -> Column:
