@@ -19,11 +19,15 @@ def map_runs(df: DataFrame, keys: list[str], columns: list[str], rule: Callable[
     names = [part.strip().split(" ")[0].strip("`") for part in schema.split(",")]
     width = len(keys)
 
+    def values(column: pd.Series) -> list:
+        out = column.tolist()
+        return [None if v is None or v != v else v for v in out] if column.dtype.kind == "f" else out
+
     def run(batches):
         current, rows = None, []
         for batch in batches:
             out = []
-            for row in zip(*[batch[c].tolist() for c in [*keys, *columns]]):
+            for row in zip(*[values(batch[c]) for c in [*keys, *columns]]):
                 key = row[:width]
                 if key != current:
                     if rows:

@@ -11,7 +11,7 @@ from paperloom.operators.classify import kept_lines, page_class
 def arriving_pages(spark: SparkSession, folder: str) -> DataFrame:
     """pdf_name, page, text of page text files as they arrive."""
     name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
-    return spark.readStream.option("wholetext", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").text(folder).select(
+    return spark.readStream.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").text(folder, wholetext=True).select(
         F.regexp_extract(name, r"^(.*)\.\d+\.txt$", 1).alias("pdf_name"), F.regexp_extract(name, r"\.(\d+)\.txt$", 1).try_cast("int").alias("page"),
         F.col("value").alias("text"),
     )
