@@ -201,8 +201,7 @@ _add("document_lines", lambda s, d: lines.document_lines(lines.confident_words(f
 _add("same_line_groups", lambda s, d: lines.same_line_groups(frames.document_words(s, d), ["docid", "docpg"]).groupBy("docid", "docpg").agg(F.max("line_no").alias("lines"), F.count(F.lit(1)).alias("words")), f"""
   SELECT docid, docpg, CAST(sum(CASE WHEN y0 <= m THEN 0 ELSE 1 END) AS BIGINT) AS lines, count(*) AS words
   FROM (SELECT *, lag((y0 + y1) / 2) OVER (PARTITION BY docid, docpg ORDER BY y0, word_id) m FROM ({frames.WORDS_SQL})) GROUP BY docid, docpg""")
-_order = Window.partitionBy("docid", "docpg").orderBy("line_id")
-_add("break_groups", lambda s, d: lines.break_groups(frames.document_page_lines(s, d), ["docid", "docpg"], ["line_id"], F.col("y0") > F.lag("y1").over(_order) + 0.1).select("docid", "docpg", "line_id", "pid"), f"""
+_add("break_groups", lambda s, d: lines.break_groups(frames.document_page_lines(s, d), ["docid", "docpg"], ["line_id"], F.col("y0") > F.lag("y1").over(Window.partitionBy("docid", "docpg").orderBy("line_id")) + 0.1).select("docid", "docpg", "line_id", "pid"), f"""
   SELECT docid, docpg, line_id, CAST(sum(CASE WHEN coalesce(y0 > p + 0.1::DOUBLE, true) THEN 1 ELSE 0 END) OVER (PARTITION BY docid, docpg ORDER BY line_id) AS BIGINT) AS pid
   FROM (SELECT *, lag(y1) OVER (PARTITION BY docid, docpg ORDER BY line_id) p FROM ({frames.LINES_SQL}))""")
 _add("fill_down", _on("cr_pdf_pages")(lambda g: lines.fill_down(g, ["pdf_id"], ["page_num"], "page_classification").select("id", "page_classification")), """
