@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from paperloom.functions.text import normalized_levenshtein
 from paperloom.operators.rules import HEAD_RULES, LEFT_RULES, TAIL_RULES
+from paperloom.tables import spread
 
 
 def kept_lines(text: Column) -> Column:
@@ -21,8 +22,13 @@ def _rule_array(rules) -> Column:
 
 def _first_rule(lines: Column, rules) -> Column:
     """Class of the first rule that one of ``lines`` begins with, give or take .15 of its length."""
+    def near(line: Column, p: Column) -> Column:
+        # a line that is too short by itself needs no measuring
+        long = F.length(line) > F.length(p) * 0.85
+        return long & (normalized_levenshtein(F.lower(F.substring(line, F.lit(1), F.length(p))), p) < 0.15)
+
     def fits(r: Column) -> Column:
-        return F.exists(lines, lambda line: normalized_levenshtein(F.lower(F.substring(line, F.lit(1), F.length(r["p"]))), r["p"]) < 0.15)
+        return F.exists(lines, lambda line: near(line, r["p"]))
 
     return F.get(F.filter(_rule_array(rules), fits), F.lit(0))["c"]
 
@@ -48,8 +54,9 @@ def left_margin_class(lines: Column, require_last: bool = False) -> Column:
     def fits(r: Column) -> Column:
         def step(i: Column, line: Column) -> Column:
             want = F.get(r["p"], i)
+            long = F.length(line) >= F.length(want) * 0.875
             near = normalized_levenshtein(F.substring(line, F.lit(1), F.length(want)), want) <= 0.125
-            return F.when((i < r["need"]) & near, i + 1).otherwise(i)
+            return F.when((i < r["need"]) & long & near, i + 1).otherwise(i)
 
         return F.aggregate(lines, F.lit(0), step) >= r["need"]
 
@@ -70,7 +77,7 @@ def control_number(text: Column) -> Column:
 
 def classified_pages(pages: DataFrame, text: str = "text", require_last: bool = False) -> DataFrame:
     """``pages`` with head, tail, left_margin and page_class of their text."""
-    rows = pages.withColumn("_lines", kept_lines(F.col(text)))
+    rows = spread(pages).withColumn("_lines", kept_lines(F.col(text)))
     lines = F.col("_lines")
     some = F.size(lines) > 0
     rows = rows.withColumns({

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from paperloom.functions.text import bins, qgrams
 from paperloom.operators.rules import LINE_PATTERNS, SECTION_NAMES
+from paperloom.tables import spread
 
 LINE = ["docid", "docpg", "line_id"]
 
@@ -15,7 +16,7 @@ def pattern_features(lines: DataFrame) -> DataFrame:
     """LINE and one 0/1 column per line pattern, null for a null text. A pattern needs a
     non-word character or an end on both sides; alternatives inside it share the sides unevenly,
     as the wrapping is textual."""
-    return lines.select(*LINE, *[F.col("text").rlike(rf"(?U)(\W|^){p}(\W|$)").cast("int").alias(n) for n, p in LINE_PATTERNS.items()])
+    return spread(lines).select(*LINE, *[F.col("text").rlike(rf"(?U)(\W|^){p}(\W|$)").cast("int").alias(n) for n, p in LINE_PATTERNS.items()])
 
 
 def shape_features(lines: DataFrame) -> DataFrame:
