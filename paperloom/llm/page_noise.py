@@ -1,7 +1,7 @@
 """Noise in text from scanned pages: broken words, misread glyphs, running headers.
 
 Words are grouped by a confusable-glyph skeleton and rare forms give way to the frequent form
-of their group, lines are masked by digit to find running headers and page numbers, and the
+of their group that stands in like surroundings, lines are masked by digit to find running headers and page numbers, and the
 rest is reflowed with windows over the lines.
 
 Defined results: a null or blank text has no lines, no findings and a null repaired text; a
@@ -51,7 +51,7 @@ def bare_word(token: Column) -> Column:
 def scanned_texts(report_extract: DataFrame, cells: DataFrame) -> DataFrame:
     """src, rec_id, text of every narrative and of every cell row in a prose column.
 
-    A heading counts by its column name alone, exact or one letter off.
+    A heading counts by its column name alone, exact or one letter off. Repeated rows come once.
     """
     right = F.array(*[heading_key(F.lit(c)) for c in PROSE_COLUMNS])
     near = F.exists(right, lambda r: F.levenshtein(r, F.col("ckey"), 1) >= 0)
@@ -60,6 +60,7 @@ def scanned_texts(report_extract: DataFrame, cells: DataFrame) -> DataFrame:
         report_extract.select(F.lit("report_extract").alias("src"), F.col("docid").cast("string").alias("rec_id"), F.col("narrative").alias("text"))
         .unionByName(prose.select(F.lit("cr_summary_data_temp").alias("src"), F.col("row_id").cast("string").alias("rec_id"), "text"))
         .where(F.col("text").isNotNull())
+        .distinct()
     )
 
 
@@ -136,45 +137,52 @@ def reflowed_tokens(marked: DataFrame) -> DataFrame:
 
 
 def token_forms(tokens: DataFrame) -> DataFrame:
-    """``tokens`` with split, form (the bare word, halves joined) and alt (halves with a hyphen)."""
+    """``tokens`` with split, form (the bare word, halves joined), alt (halves with a hyphen), half
+    (the second half) and cap (it begins with a capital, as names and sentences do)."""
     split = F.col("token").contains(_MARK)
     return tokens.withColumns({
         "split": split,
         "form": bare_word(F.replace("token", F.lit(_MARK), F.lit(""))),
         "half": F.when(split, bare_word(F.split_part("token", F.lit(_MARK), F.lit(2)))),
+        "cap": F.regexp_replace("token", f"^{_EDGE}", "").rlike(r"^\p{Lu}"),
         "alt": F.when(split, bare_word(F.replace("token", F.lit(_MARK), F.lit("-")))),
     })
 
 
 def right_forms(forms: DataFrame) -> DataFrame:
-    """form, right, n: how each written form should read and in how many texts ``right`` stands.
-
-    A form's text count is taken over all texts. Within a skeleton group a form yields to the
-    frequent form nearest to it; broken words count for nothing themselves. Groups are small
-    (spellings of one skeleton), and only distinct forms, not tokens, meet in the join.
+    """form, cap, right, n: how each written form should read in that case, and in how many texts
+    ``right`` stands so.
+
+    Counts are taken over all texts, by case: what surrounds a capitalised form (a sentence's
+    start, a name) supports other words than what surrounds a lower-case one, so candidates of
+    the same case go first and those of the other case serve only where there are none. Within a
+    skeleton group a form yields to the frequent form nearest to it; forms that yield themselves
+    are no candidates; broken words count for nothing. Only distinct forms meet in the join.
     """
-    seen = forms.where(~F.col("split")).select("copy", "form").distinct().groupBy("form").agg(F.count(F.lit(1)).alias("n"))
-    broken = forms.where("split").select(F.explode(F.array("form", "alt", "half")).alias("form")).distinct()
+    seen = forms.where(~F.col("split")).select("copy", "form", "cap").distinct().groupBy("form", "cap").agg(F.count(F.lit(1)).alias("n"))
+    broken = forms.where("split").select("cap", F.explode(F.array("form", "alt", "half")).alias("form")).distinct()
     asked = (
         seen.unionByName(broken.withColumn("n", F.lit(0).cast("long"))).where(F.col("form").rlike("[a-z]") & (F.length("form") <= 40))
-        .groupBy("form").agg(F.max("n").alias("n")).withColumn("sk", skeleton(F.col("form")))
+        .groupBy("form", "cap").agg(F.max("n").alias("n")).withColumn("sk", skeleton(F.col("form")))
+        .withColumn("all", F.sum("n").over(Window.partitionBy("form")))
     )
-    good = asked.where(F.col("form").rlike(_WORD) & (F.col("n") >= LEAST_RIGHT)).select(F.col("form").alias("right"), F.col("n").alias("m"), "sk")
     letters = F.col("form").rlike(_WORD)
-    beats = F.when(F.col("form") == F.col("right"), True).otherwise(
-        F.when(letters & (F.col("n") > 0), F.col("m") >= F.col("n") * RATIO).otherwise(True)
-    )
-    ranked = asked.join(good, "sk").where(beats).withColumn(
-        "rank", F.struct((F.col("m") < RATIO * F.col("n")).cast("int").alias("own"), F.levenshtein("form", "right").alias("d"), (-F.col("m")).alias("neg"), F.col("right").alias("right"))
+    good = asked.where(letters & (F.col("n") >= LEAST_RIGHT)).withColumn("top", F.max("n").over(Window.partitionBy("sk", "cap")))
+    # a form that itself yields to another of its group is no right form
+    good = good.where(F.col("n") * RATIO > F.col("top")).select(F.col("form").alias("right"), F.col("n").alias("m"), F.col("cap").alias("rcap"), "sk")
+    beats = F.when(F.col("form") == F.col("right"), True).when(letters & (F.col("all") > 0), F.col("m") >= F.col("all") * RATIO).otherwise(True)
+    # case first; then any form that outnumbers the written one tenfold goes before that itself
+    rank = F.struct(
+        (F.col("cap") != F.col("rcap")).alias("other"), (F.col("m") < F.col("all") * RATIO).alias("own"),
+        F.levenshtein("form", "right").alias("d"), (-F.col("m")).alias("neg"), F.col("right").alias("right"),
     )
-    # any right form that outnumbers the written one tenfold goes before the written one itself
-    best = ranked.groupBy("form").agg(F.min("rank").alias("r"))
-    return best.select("form", F.col("r.right").alias("right"), (-F.col("r.neg")).alias("n"))
+    best = asked.join(good, "sk").where(beats).groupBy("form", "cap").agg(F.min(rank).alias("r"))
+    return best.select("form", "cap", F.col("r.right").alias("right"), (-F.col("r.neg")).alias("n"))
 
 
 def corrections(rights: DataFrame) -> DataFrame:
-    """form, right of the forms that are misread."""
-    return rights.where(F.col("form") != F.col("right")).select("form", "right")
+    """form, cap, right of the forms that are misread; single letters are initials and stay."""
+    return rights.where((F.col("form") != F.col("right")) & (F.length("form") > 1)).select("form", "cap", "right")
 
 
 def noise_found(report_extract: DataFrame, cells: DataFrame) -> DataFrame:
@@ -183,16 +191,16 @@ def noise_found(report_extract: DataFrame, cells: DataFrame) -> DataFrame:
     The marked lines, each text's distinct forms and the right forms are written once each.
     """
     marked = written(marked_lines(text_lines(scanned_texts(report_extract, cells))))
-    forms = written(token_forms(reflowed_tokens(marked)).select(*KEYS, "copy", "split", "form", "half", "alt").distinct())
+    forms = written(token_forms(reflowed_tokens(marked)).select(*KEYS, "copy", "split", "form", "cap", "half", "alt").distinct())
     rights = written(right_forms(forms))
     furniture = marked.where("furniture").select(*KEYS, F.lit("furniture").alias("kind"), F.col("line").alias("token"))
-    whole = forms.where(~F.col("split")).select(*KEYS, "form")
-    misread = whole.join(corrections(rights), "form").select(*KEYS, F.lit("misread").alias("kind"), F.col("right").alias("token"))
-    broken = forms.where("split").select(*KEYS, "form", "alt", "half")
-    a = rights.select("form", F.col("right").alias("r1"), F.col("n").alias("n1"))
-    b = rights.select(F.col("form").alias("alt"), F.col("right").alias("r2"), F.col("n").alias("n2"))
-    c = rights.select(F.col("form").alias("half"), F.col("n").alias("n3"))
-    joined = broken.join(a, "form", "left").join(b, "alt", "left").join(c, "half", "left")
+    whole = forms.where(~F.col("split")).select(*KEYS, "form", "cap")
+    misread = whole.join(corrections(rights), ["form", "cap"]).select(*KEYS, F.lit("misread").alias("kind"), F.col("right").alias("token"))
+    broken = forms.where("split").select(*KEYS, "form", "cap", "alt", "half")
+    a = rights.select("form", "cap", F.col("right").alias("r1"), F.col("n").alias("n1"))
+    b = rights.select(F.col("form").alias("alt"), "cap", F.col("right").alias("r2"), F.col("n").alias("n2"))
+    c = rights.groupBy(F.col("form").alias("half")).agg(F.max("n").alias("n3"))
+    joined = broken.join(a, ["form", "cap"], "left").join(b, ["alt", "cap"], "left").join(c, "half", "left")
     # an unknown word whose second half is a word itself: the text lost words after the line end
     joined = joined.where(F.coalesce("n1", "n2").isNotNull() | (F.col("n3").isNull() & F.col("form").rlike(_WORD)))
     hyphen = F.coalesce(F.col("n2"), F.lit(0)) > F.coalesce(F.col("n1"), F.lit(0))
@@ -214,9 +222,9 @@ def repaired_texts(report_extract: DataFrame, cells: DataFrame) -> DataFrame:
     rights = written(right_forms(forms))
     w = Window.partitionBy(*KEYS, "copy").orderBy("ln").rowsBetween(Window.unboundedPreceding, 0)
     paragraphs = lines.withColumn("par", F.count(F.when(F.col("line") == "", 1)).over(w)).select(*KEYS, "copy", "ln", "par").distinct()
-    a = rights.select("form", F.col("right").alias("r1"), F.col("n").alias("n1"))
-    b = rights.select(F.col("form").alias("alt"), F.col("right").alias("r2"), F.col("n").alias("n2"))
-    rows = forms.join(a, "form", "left").join(b, "alt", "left").join(paragraphs, [*KEYS, "copy", "ln"])
+    a = rights.select("form", "cap", F.col("right").alias("r1"), F.col("n").alias("n1"))
+    b = rights.select(F.col("form").alias("alt"), "cap", F.col("right").alias("r2"), F.col("n").alias("n2"))
+    rows = forms.join(a, ["form", "cap"], "left").join(b, ["alt", "cap"], "left").join(paragraphs, [*KEYS, "copy", "ln"])
     hyphen = F.col("split") & (F.coalesce("n2", F.lit(0)) > F.coalesce("n1", F.lit(0)))
     as_read = F.when(hyphen, F.col("alt")).otherwise(F.col("form"))
     right = F.coalesce(F.when(hyphen, F.col("r2")).otherwise(F.col("r1")), as_read)
