@@ -11,7 +11,7 @@ from paperloom.functions import text as tx
 from paperloom.functions.stats import average_rank, distinct_sorted_concat, median_counting_nulls
 from paperloom.operators import attributes, classify, dedupe, features, forms, layout, lines, narratives, records, relational, reports, sequence_model
 from paperloom.operators.rules import HEAD_RULES, LEFT_RULES, LINE_PATTERNS, SECTION_NAMES, TAIL_RULES
-from paperloom.plans import frames
+from paperloom.plans import cells_sql, frames
 from paperloom.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,7 +49,7 @@ def _entries(spark, sf_dir):
     return attributes.form_entries(*[read_table(spark, sf_dir, t) for t in ("cr_summary_data_temp", "cr_pdfs", "form_columns")])
 
 
-_add("p3_found", lambda s, d: attributes.readable_attributes(_entries(s, d), attributes.ENTRY))
+_add("p3_found", lambda s, d: attributes.readable_attributes(_entries(s, d), attributes.ENTRY), cells_sql.READABLE)
 _add("p3_entries", _entries)
 
 # batch reports
