@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from paperloom.llm import leakage, name_variants, near_copies, page_noise, personal_data, places, reading_level, survivors, tokenize
+from paperloom.plans.cells_sql import CELLS
 from paperloom.tables import read_table
 
 
@@ -35,5 +36,26 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+_WORDS = "regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')"
+_NEAR_COPIES = f"""
+  WITH {CELLS},
+  st AS (SELECT row_id, pdf_name, {_WORDS} w FROM cells WHERE text IS NOT NULL AND (section_name, column_name) IN (('Accused Members', 'Initial / Intake Allegation'), ('Current Allegations', 'Allegation'),
+    ('Incident Finding / Overall Case Finding', 'Description of Incident'))),
+  long AS (SELECT * FROM st WHERE len(w) >= 32),
+  tri AS (SELECT row_id, pdf_name, len(w) n, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] t FROM (SELECT *, unnest(range(1, len(w) - 1)) i FROM long)),
+  one AS (SELECT DISTINCT row_id, pdf_name, n, t FROM tri),
+  hit AS (SELECT a.row_id a, b.row_id b, count(*) / (any_value(a.n) - 2)::DOUBLE share FROM tri a JOIN one b ON a.t = b.t AND a.row_id <> b.row_id AND a.pdf_name <> b.pdf_name AND a.n >= b.n GROUP BY a.row_id, b.row_id)
+  SELECT DISTINCT least(a, b) AS row_id_a, greatest(a, b) AS row_id_b FROM hit WHERE share >= 0.7
+"""
+
+
+def _runs(key: str, table: str) -> str:
+    return f"SELECT DISTINCT {key}, array_to_string(w[i:i + 11], ' ') k FROM (SELECT {key}, w, unnest(range(1, len(w) - 10)) i FROM (SELECT {key}, {_WORDS} w FROM {table}))"
+
+
+_LEAKS = f"WITH a AS ({_runs('doc_id', 'documents')}), b AS ({_runs('item_id', 'eval_items')}) SELECT DISTINCT doc_id, item_id FROM a JOIN b USING (k)"
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """Where SQL can say it; the others are held against brute force in tests/llm."""
+    return {"p4_found": _NEAR_COPIES, "p9_found": _LEAKS}
