@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.operators.form_keys import resolve_cells
+from paperloom.operators.pairs import unequal_pairs
 from paperloom.session import written
 from paperloom.tables import spread
 
@@ -200,11 +201,9 @@ def near_copies(cells: DataFrame, pdfs: DataFrame, form: DataFrame) -> DataFrame
     a = members.select(F.col("row_id").alias("ra"), F.col("file").alias("fa"), F.col("cid").alias("cid_a"))
     b = members.select(F.col("row_id").alias("rb"), F.col("file").alias("fb"), F.col("cid").alias("cid_b"))
     linked = links.select("cid_a", "cid_b").join(a, "cid_a").join(b, "cid_b").where("fa <> fb")
-    equal = a.join(b, (F.col("cid_a") == F.col("cid_b")) & (F.col("ra") < F.col("rb")) & (F.col("fa") != F.col("fb")))
-    least, most = F.least("ra", "rb").cast("bigint"), F.greatest("ra", "rb").cast("bigint")
-    return linked.select(least.alias("row_id_a"), most.alias("row_id_b")).unionByName(
-        equal.select(least.alias("row_id_a"), most.alias("row_id_b"))
-    ).distinct()
+    names = ("row_id_a", "row_id_b")
+    unequal = linked.select(F.least("ra", "rb").cast("bigint").alias(names[0]), F.greatest("ra", "rb").cast("bigint").alias(names[1]))
+    return unequal.unionByName(unequal_pairs(members, "cid", "file", "row_id", names)).distinct()
 
 
 def copy_classes(cells: DataFrame, pdfs: DataFrame, form: DataFrame) -> DataFrame:

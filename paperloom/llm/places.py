@@ -21,6 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from paperloom.operators.pairs import unequal_pairs
 from paperloom.operators.runs import map_runs
 from paperloom.session import written
 from paperloom.tables import spread
@@ -261,9 +262,4 @@ def same_places(summary_logs: DataFrame) -> DataFrame:
     blank = lambda c: F.when(F.trim(F.regexp_replace(c, r"\s+", " ")) != "", F.col(c))
     rows = summary_logs.select("sl_id", F.coalesce(blank("address_of_incident"), blank("address")).alias("raw")).where("raw is not null")
     placed = written(address_places(rows).select("sl_id", "raw", "place_id"))
-    a, b = placed.alias("a"), placed.alias("b")
-    return (
-        a.join(b, (F.col("a.place_id") == F.col("b.place_id")) & (F.col("a.sl_id") < F.col("b.sl_id")) & (F.col("a.raw") != F.col("b.raw")))
-        .select(F.col("a.sl_id").alias("sl_id_a"), F.col("b.sl_id").alias("sl_id_b"))
-        .distinct()
-    )
+    return unequal_pairs(placed, "place_id", "raw", "sl_id", ("sl_id_a", "sl_id_b"))
