@@ -183,21 +183,21 @@ def spelling_heads(names: DataFrame, block: list[str], word: str = "name", count
     """block, word, head: the commonest spelling that each spelling within ``block`` stands for.
 
     ``names`` has one row per block and spelling with its count. Two sorted-neighbourhood
-    passes, within equal first letters and within equal last letters, each in two orders:
-    alphabetical (the next WINDOW entries) and by frequency (the WINDOW commonest). One edit
-    spares the first or the last letters. A spelling points at its commonest neighbour within
+    passes, one within equal first and one within equal last two letters, each in two orders:
+    by letters from that end (WINDOW entries on both sides) and by frequency (the WINDOW
+    commonest). One edit spares the first or the last two letters. A spelling points at its commonest neighbour within
     one edit, pointers are followed twice. Numbers and short words have to agree wholly.
     """
     near = []
-    for side in (F.substring(word, 1, 3), F.substring(F.reverse(F.col(word)), 1, 3)):
-        rows = names.withColumn("side", side)
+    for order_key in (F.col(word), F.reverse(F.col(word))):
+        rows = names.withColumns({"side": F.substring(order_key, 1, 2), "along": order_key})
         by = Window.partitionBy(*block, "side")
         order = F.row_number().over(by.orderBy(F.desc(count), word))
         top = rows.withColumn("order", order).where(F.col("order") <= WINDOW).groupBy(*block, "side").agg(
             F.collect_list(F.struct(F.col(count).alias("n"), F.col(word).alias("w"))).alias("top")
         )
-        nxt = F.collect_list(F.struct(F.col(count).alias("n"), F.col(word).alias("w"))).over(by.orderBy(word).rowsBetween(1, WINDOW))
-        prv = F.collect_list(F.struct(F.col(count).alias("n"), F.col(word).alias("w"))).over(by.orderBy(word).rowsBetween(-WINDOW, -1))
+        nxt = F.collect_list(F.struct(F.col(count).alias("n"), F.col(word).alias("w"))).over(by.orderBy("along").rowsBetween(1, WINDOW))
+        prv = F.collect_list(F.struct(F.col(count).alias("n"), F.col(word).alias("w"))).over(by.orderBy("along").rowsBetween(-WINDOW, -1))
         rows = rows.withColumns({"nxt": nxt, "prv": prv}).join(top, [*block, "side"])
         near.append(rows.select(*block, word, count, F.explode(F.array_distinct(F.concat("nxt", "prv", "top"))).alias("o")))
     pairs = near[0].unionByName(near[1]).where((F.col("o.w") != F.col(word)) & (F.struct(F.col("o.n"), F.col("o.w")) > F.struct(F.col(count), F.col(word))))
