@@ -3,33 +3,20 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.functions.readings import READERS, canonical_reading
 from paperloom.operators.form_keys import resolve_cells
-from paperloom.session import cut_lineage
+from paperloom.operators.ordinals import global_ordinals
 
 #: Entities of one ordinal range; a range with all its attributes is what one task holds.
 RANGE = 2048
 
 
 def entity_ordinals(entities: DataFrame, keys: list[str]) -> DataFrame:
-    """Give each distinct row of ``entities`` a dense global ordinal in key order, from 0.
-
-    Range-partitioned sort, then per-partition counts turned into offsets; no step brings the
-    rows into one task. The sorted table is written before it is numbered, so a lost executor
-    can't renumber it. The only broadcast is one row per partition.
-    """
-    placed = cut_lineage(entities.select(*keys).distinct().repartitionByRange(*[F.col(k).asc_nulls_first() for k in keys]))
-    placed = placed.withColumn("part", F.spark_partition_id())
-    counts = placed.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-    inside = Window.partitionBy("part").orderBy(*[F.col(k).asc_nulls_first() for k in keys])
-    return placed.withColumn("place", F.row_number().over(inside) - 1).join(F.broadcast(offsets), "part").select(
-        *keys, (F.col("start") + F.col("place")).alias("ordinal")
-    )
+    """Each distinct row of ``keys`` with a dense global ordinal in key order, from 0."""
+    return global_ordinals(entities.select(*keys).distinct(), keys)
 
 
 def stitch_wide(values: DataFrame, keys: list[str], columns: list[tuple[str, str]]) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from paperloom.operators.ordinals import global_ordinals
+
 
 def narratives_view(cells: DataFrame, pdfs: DataFrame, pages: DataFrame, include_review_remarks: bool = False) -> DataFrame:
     """Narrative cells with their pdf and page. ``cells`` has filename-equal pdf_name and page_num.
@@ -42,9 +44,8 @@ def insert_ignore(known: DataFrame, new: DataFrame, keys: list[str], id_column:
     fresh = new.join(known.select(*keys), keys, "left_anti")
     fresh = fresh.withColumn("_rank", F.when(some_null, 1).otherwise(F.row_number().over(first))).where("_rank = 1").drop("_rank")
     top = known.agg(F.coalesce(F.max(id_column), F.lit(0)).alias("_top"))
-    order = Window.partitionBy(F.lit(0)).orderBy(*[F.col(c).asc_nulls_last() for c in [*keys, *[c for c in fields if c not in keys]]])
-    fresh = fresh.withColumn("_n", F.row_number().over(order)).crossJoin(F.broadcast(top))  # one row
-    fresh = fresh.withColumn(id_column, (F.col("_top") + F.col("_n")).cast(known.schema[id_column].dataType))
+    fresh = global_ordinals(fresh.select(*fields), [*keys, *[c for c in fields if c not in keys]], "_n").crossJoin(F.broadcast(top))  # one row
+    fresh = fresh.withColumn(id_column, (F.col("_top") + F.col("_n") + 1).cast(known.schema[id_column].dataType))
     return known.unionByName(fresh.select(*known.columns))
 
 

@@ -98,3 +98,11 @@ def finished_pages(listing: DataFrame, pdfs: DataFrame, kinds: tuple[str, ...] =
         "filename", F.explode(F.sequence(F.lit(1), F.col("page_count"))).alias("page"), F.array(*[F.lit(k) for k in kinds]).alias("kinds")
     ).select("filename", "page", F.explode("kinds").alias("kind"))
     return wanted.join(listing.select("filename", "page", "kind").distinct(), ["filename", "page", "kind"], "left_anti").groupBy("filename").agg(F.count(F.lit(1)).alias("missing"))
+
+
+def read_database(spark: SparkSession, url: str, table: str, columns: list[str], **options: str) -> DataFrame:
+    """Distinct rows of some columns of a database table; the projection is pushed to the database.
+
+    ``options`` are those of the JDBC source, such as partitionColumn with its bounds.
+    """
+    return spark.read.format("jdbc").options(url=url, dbtable=table, **options).load().select(*columns).distinct()
