@@ -143,8 +143,12 @@ class Featurizer:
                 self.known[token] = got
         return got
 
-    def matrix(self, docs: list[list[str]]):
-        """(feature ids [tokens x features], document of each token, repeat key of each token)."""
+    def columns(self, docs: list[list[str]]):
+        """(feature columns one by one, document of each token, repeat key of each token).
+
+        A column has a feature id per token; making them one at a time keeps a very long text to
+        a few arrays of its length.
+        """
         own, words, shapes, keys, doc = [], [], [], [], []
         for d, tokens in enumerate(docs):
             for t in tokens:
@@ -157,22 +161,27 @@ class Featurizer:
         doc = np.array(doc, np.int64)
         own = np.array(own, np.int64).reshape(-1, _OWN)
         words, shapes = np.array(words, np.int64), np.array(shapes, np.int64)
-        columns = [own]
-        n = len(doc)
-        for off in range(-_REACH, _REACH + 1):
-            if off == 0:
-                continue
-            at = np.clip(np.arange(n) + off, 0, max(n - 1, 0))
-            inside = (np.arange(n) + off >= 0) & (np.arange(n) + off < n)
-            inside &= doc[at] == doc if n else inside
-            for base, salt in ((words, 101), (shapes, 707)):
-                v = np.where(inside, base[at], 7) * 2654435761 + (off + 9) * 40503 + salt
-                columns.append((v ^ (v >> 15))[:, None])
-            pair = np.where(inside, words[at], 7) * 31 + shapes * 17 + off
-            columns.append((pair ^ (pair >> 13))[:, None])
-        ids = np.concatenate(columns, axis=1) if n else np.empty((0, _OWN + 6 * _REACH), np.int64)
-        salted = ids * 3 + np.arange(ids.shape[1]) * 1_000_003
-        return ((salted ^ (salted >> 17)) % _DIM).astype(np.int32), doc, keys
+
+        def made():
+            n = len(doc)
+            yield from own.T
+            for off in range(-_REACH, _REACH + 1):
+                if off == 0:
+                    continue
+                at = np.clip(np.arange(n) + off, 0, max(n - 1, 0))
+                inside = (at == np.arange(n) + off) & (doc[at] == doc)
+                for base, salt in ((words, 101), (shapes, 707)):
+                    v = np.where(inside, base[at], 7) * 2654435761 + (off + 9) * 40503 + salt
+                    yield v ^ (v >> 15)
+                pair = np.where(inside, words[at], 7) * 31 + shapes * 17 + off
+                yield pair ^ (pair >> 13)
+
+        def salted():
+            for i, v in enumerate(made()):
+                v = v * 3 + i * 1_000_003
+                yield ((v ^ (v >> 17)) % _DIM).astype(np.int32)
+
+        return salted(), doc, keys
 
 
 def tokens_of(text: str) -> list[tuple[int, int]]:
@@ -211,10 +220,10 @@ class SkipChain:
             gold += g
             for x, y in zip(g, g[1:]):
                 chain[x, y] += 1
-        x, _, _ = self.features.matrix(docs)
         y = np.array(gold, np.int64)
         if not len(y):
             return self
+        x = np.stack(list(self.features.columns(docs)[0]), axis=1)
         prior = np.bincount(y, minlength=_L) + 1.0
         prior /= prior.sum()
         # pointwise mutual information of neighbouring labels, damped: the unary potentials
@@ -246,13 +255,13 @@ class SkipChain:
 
     def marginals(self, docs: list[list[str]]) -> np.ndarray:
         """Label probabilities of all tokens by loopy message passing over chain and skip edges."""
-        x, doc, keys = self.features.matrix(docs)
+        columns, doc, keys = self.features.columns(docs)
         n = len(doc)
         if not n:
             return np.empty((0, _L))
         unary = np.zeros((n, _L))
-        for c in range(x.shape[1]):
-            unary += self.weights[x[:, c]]
+        for column in columns:
+            unary += self.weights[column]
         unary -= unary.max(axis=1, keepdims=True)
         sure = np.exp(unary[:, 0]) / np.exp(unary).sum(axis=1) > 0.9999
         left = np.arange(n - 1)
