@@ -39,7 +39,7 @@ TITLES = "officer off detective det sergeant sgt lieutenant lt captain capt comm
 _DIR = r"(?:N|S|E|W|No|So|NO|SO|North|South|East|West|NORTH|SOUTH|EAST|WEST)\b\.?"
 _TYPE = r"(?i:avenue|ave|av|boulevard|blvd|bl|court|ct|drive|dr|parkway|pkwy|pky|place|pl|road|rd|street|str|st|lane|ln|terrace|ter)\b\.?"
 _UNIT = r"(?:(?i:apt|apartment|unit|ste|suite|fl|floor|rm)\b\.?\s+#?\w+|\#\s?\w+)"
-_STREET = r"(?:\d+(?:st|nd|rd|th|ST|ND|RD|TH)?|[A-Z][\w€@|+ƒ]*(?:-[A-Z]\w*)?)"
+_STREET = r"(?:\d{1,3}(?:st|nd|rd|th|ST|ND|RD|TH)|\d{1,2}(?=\s)|[A-Z][\w€@|+ƒ]*(?:-[A-Z]\w*)?)"
 _TOWN = r"[A-Z][\w€@|+ƒ]+(?:\s+[A-Z][\w€@|+ƒ]+)?"
 ADDRESS = re.compile(
     rf"(?<![\w-])\d{{2,6}}\s+(?:{_DIR}\s+)?{_STREET}(?:\s+{_TYPE})?(?:\s+{_DIR})?(?:,?\s+{_UNIT})?(?:,?\s+(?!{_DIR}\s){_TOWN}(?:,?\s+\d{{5}}(?![\w-]))?)?(?:,?\s+{_UNIT})?"
@@ -347,8 +347,9 @@ def _ends(text: str, start: int, end: int, kind: int) -> list[tuple[int, int, st
             return pieces
     form = _FORMS[kind]
     out = []
-    # the exact form may reach a token beyond the run, but must share ground with it
-    for m in form.finditer(text, max(0, start - 40), min(len(text), end + 40)):
+    # the exact form may begin a token before the run, or for short kinds end one behind it, but
+    # must share ground with it
+    for m in form.finditer(text, max(0, start - 40), end if kind == 5 else min(len(text), end + 40)):
         if m.start() < end and start < m.end():
             stop = m.end()
             if kind == 2:
