@@ -82,3 +82,20 @@ def test_median_counts_nulls(spark):
 ])
 def test_readings(spark, text, kind, value):
     assert one(spark, canonical_reading(F.col("t"), F.col("k")), t=text, k=kind) == value
+
+
+def test_pixels(spark):
+    import numpy as np
+
+    from paperloom.functions import pixels
+
+    assert pixels.luminance((1, 1, 1)) == pytest.approx(0.8718)
+    assert pixels.brightened(np.array([[0, 127, 255]]), 30, 30).tolist() == [[0, 157, 255]]
+    dark, light = pixels.text_and_background(np.array([[[0, 0, 0], [250, 250, 250], [2, 2, 2], [254, 254, 254]]]))
+    assert dark.tolist() == [1, 1, 1] and light.tolist() == [252, 252, 252]
+    page = np.full((100, 120), 255, np.uint8)
+    page[10:30, 20:60] = 0
+    page[50:52, 5:115] = 0
+    page[60:70, 100:110] = 0
+    df = spark.createDataFrame([(1, bytearray(page.tobytes()), 120, 100), (2, bytearray(b"x"), 5, 5), (3, None, 1, 1)], "page_num int, content binary, width int, height int")
+    assert [tuple(r) for r in pixels.redaction_blocks(df).collect()] == [(1, "20,10,40,20")]
