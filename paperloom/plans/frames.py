@@ -6,10 +6,12 @@ frames give every row of a table a place on a page.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from paperloom.operators.form_keys import file_key, heading_map
 from paperloom.operators.rules import SECTIONS
+from paperloom.session import written
 from paperloom.tables import read_table
 
 
@@ -98,7 +100,7 @@ _FORM_CELLS_SQL = """
   SELECT pdf_name, page_num, section_name, column_name, ordinal_no, min(trim(text)) AS text FROM cr_summary_data_temp JOIN form_columns USING (section_name, column_name)
   WHERE page_num IS NOT NULL AND regexp_matches(trim(text), '^[A-Z0-9]{2,12}$') GROUP BY ALL
 """
-#: What a faithful form parser must read from form_tokens again.
+#: What a form parser must read again of the short cells alone; form_tokens prints all of them.
 FORM_SQL = f"SELECT pdf_name, page_num, section_name, column_name, text FROM ({_FORM_CELLS_SQL})"
 BANDS_SQL = f"""
   WITH s AS (SELECT DISTINCT pdf_name, page_num, section_name FROM ({_FORM_CELLS_SQL})), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY pdf_name, page_num ORDER BY section_name) AS INTEGER) k FROM s)
@@ -106,33 +108,71 @@ BANDS_SQL = f"""
 """
 
 
+#: Words on a printed line of a form column; pixels from one line to the next.
+LINE_WORDS, LINE_STEP = 6, 24
+
+
+def form_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row with a page and a heading of the form, with its place in its section: pdf_name,
+    page_num, section_name, ordinal_no, lines (arrays of at most LINE_WORDS words), line (that of
+    its first), section_lines. Entries (row_num) of a section stand below one another, and so do
+    the loads of a cell, by row_id. Files and headings are put right; an unknown file keeps its name."""
+    printed = [(section, i, header) for section, headers in SECTIONS for i, header in enumerate(headers, 1) if header]
+    form = spark.createDataFrame(printed, "section_name string, ordinal_no int, column_name string")
+    cells = read_table(spark, sf_dir, "cr_summary_data_temp").where("page_num is not null and pdf_name is not null")
+    headings = heading_map(cells, read_table(spark, sf_dir, "form_columns")).join(form, ["section_name", "column_name"]).drop("attribute", "value_type")
+    files = read_table(spark, sf_dir, "cr_pdfs").groupBy(file_key(F.col("filename")).alias("fkey")).agg(F.min("filename").alias("right_name"))
+    words = lambda line: F.filter(F.split(line, r"\s+"), lambda w: w != "")
+    wrapped = lambda ws: F.when(
+        F.size(ws) > 0, F.transform(F.sequence(F.lit(1), F.size(ws), F.lit(LINE_WORDS)), lambda i: F.slice(ws, i, LINE_WORDS))
+    ).otherwise(F.expr("cast(array() as array<array<string>>)"))
+    rows = cells.select(
+        "row_id", "page_num", "row_num", F.col("pdf_name").alias("raw_name"), file_key(F.col("pdf_name")).alias("fkey"), F.col("section_name").alias("raw_section"),
+        F.col("column_name").alias("raw_column"), F.flatten(F.transform(F.split(F.coalesce("text", F.lit("")), r"\r\n?|\n"), lambda line: wrapped(words(line)))).alias("lines"),
+    )
+    rows = rows.join(headings, ["raw_section", "raw_column"]).join(files, "fkey", "left").withColumn("pdf_name", F.coalesce("right_name", "raw_name"))
+    section = ["pdf_name", "page_num", "section_name"]
+    entry = Window.partitionBy(*section, "row_num")
+    cell = Window.partitionBy(*section, "row_num", "ordinal_no")
+    rows = rows.withColumns({
+        "above": F.coalesce(F.sum(F.size("lines")).over(cell.orderBy("row_id").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+        "height": F.sum(F.size("lines")).over(cell),
+    })
+    rows = rows.withColumns({"height": F.max("height").over(entry), "first": F.row_number().over(entry.orderBy("ordinal_no", "row_id")) == 1})
+    own = F.when(F.col("first"), F.col("height")).otherwise(0)
+    rows = rows.withColumns({"through": F.sum(own).over(Window.partitionBy(*section).orderBy("row_num").rangeBetween(Window.unboundedPreceding, 0)), "section_lines": F.sum(own).over(Window.partitionBy(*section))})
+    return rows.select(*section, "ordinal_no", "lines", (F.col("through") - F.col("height") + F.col("above")).alias("line"), "section_lines")
+
+
 def form_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Short cells of right headings laid out as form pages: pdf_name, page_num, seq, block_num,
-    par_num, line_num, text and a box in pixels. Every header of a section is printed."""
+    """form_cells printed as form pages: pdf_name, page_num, seq, block_num, par_num, line_num, text
+    and a box in pixels. Every header of a section is printed."""
     printed = [(section, i, header) for section, headers in SECTIONS for i, header in enumerate(headers, 1) if header]
     form = spark.createDataFrame(printed, "section_name string, ordinal_no int, column_name string")
-    right = read_table(spark, sf_dir, "form_columns").select("section_name", "column_name")
-    form = form.join(right.select("section_name").distinct(), "section_name", "left_semi")
-    cells = read_table(spark, sf_dir, "cr_summary_data_temp").join(right, ["section_name", "column_name"], "left_semi").join(form, ["section_name", "column_name"])
-    cells = cells.where(F.col("page_num").isNotNull() & F.trim("text").rlike("^[A-Z0-9]{2,12}$"))
-    cells = cells.groupBy("pdf_name", "page_num", "section_name", "column_name", "ordinal_no").agg(F.min(F.trim("text")).alias("text"))
+    cells = written(form_cells(spark, sf_dir))
     page = ["pdf_name", "page_num"]
-    from pyspark.sql import Window
-
-    sections = cells.select(*page, "section_name").distinct().withColumn("k", F.row_number().over(Window.partitionBy(*page).orderBy("section_name")).cast("int"))
-    box = lambda text, block, par, left, top, seq: [
-        *page, seq.cast("bigint").alias("seq"), block.cast("int").alias("block_num"), par.cast("int").alias("par_num"), F.lit(1).alias("line_num"), text.alias("text"),
-        left.cast("int").alias("left"), top.cast("int").alias("top"), F.lit(50).alias("width"), F.lit(20).alias("height"),
-    ]
-    k, w = F.col("k"), F.col("w")
-    labels = sections.select(*page, "k", F.posexplode(F.split("section_name", " ")).alias("w", "t"))
-    labels = labels.select(*box(F.col("t"), k * 3, F.lit(1), 50 + w * 60, k * 300, k * 100000 + w))
-    headers = sections.join(form, "section_name").select(*page, "k", "ordinal_no", F.posexplode(F.split("column_name", " ")).alias("w", "t"))
-    headers = headers.select(*box(F.col("t"), k * 3 + 1, F.col("ordinal_no"), 50 + F.col("ordinal_no") * 400 + w * 60, k * 300 + 60, k * 100000 + 1000 + F.col("ordinal_no") * 20 + w))
-    body = cells.join(sections, [*page, "section_name"]).select(*box(F.col("text"), k * 3 + 2, F.col("ordinal_no"), 50 + F.col("ordinal_no") * 400, k * 300 + 120, k * 100000 + 2000 + F.col("ordinal_no")))
-    sheet = sections.select(*page).distinct().select(
+    by = Window.partitionBy(*page).orderBy("section_name")
+    height = 200 + F.col("section_lines") * LINE_STEP
+    sections = cells.select(*page, "section_name", "section_lines").distinct().withColumns({"k": F.row_number().over(by).cast("int"), "top": 300 + F.sum(height).over(by) - height})
+    sections = sections.withColumn("page_height", F.sum(height).over(Window.partitionBy(*page)) + 300)
+    k, w, top = F.col("k"), F.col("w"), F.col("top")
+
+    def box(kind: int, par, line, at) -> list:
+        seq = ((k * 3 + kind).cast("bigint") * 100 + par) * 1_000_000_000 + line * 100 + w
+        return [
+            *page, seq.alias("seq"), (k * 3 + kind).cast("int").alias("block_num"), par.cast("int").alias("par_num"), (line + 1).cast("int").alias("line_num"), F.col("t").alias("text"),
+            (50 + F.when(F.lit(kind > 0), par * 400).otherwise(0) + w * 60).cast("int").alias("left"), at.cast("int").alias("top"), F.lit(50).alias("width"), F.lit(20).alias("height"),
+        ]
+
+    labels = sections.select(*page, "k", "top", F.posexplode(F.split("section_name", " ")).alias("w", "t")).select(*box(0, F.lit(1), F.lit(0), top))
+    headers = sections.join(form, "section_name").select(*page, "k", "top", "ordinal_no", F.posexplode(F.split("column_name", " ")).alias("w", "t"))
+    headers = headers.select(*box(1, F.col("ordinal_no"), F.lit(0), top + 60))
+    body = cells.join(sections.drop("section_lines"), [*page, "section_name"]).select(*page, "k", "top", "ordinal_no", "line", F.posexplode("lines").alias("i", "words"))
+    body = body.select(*page, "k", "top", "ordinal_no", (F.col("line") + F.col("i")).alias("line"), F.posexplode("words").alias("w", "t"))
+    body = body.select(*box(2, F.col("ordinal_no"), F.col("line"), top + 120 + F.col("line") * LINE_STEP))
+    sheet = sections.select(*page, "page_height").distinct().select(
         *page, F.lit(0).cast("bigint").alias("seq"), *[F.lit(0).alias(c) for c in ("block_num", "par_num", "line_num")], F.lit("").alias("text"),
-        F.lit(0).alias("left"), F.lit(0).alias("top"), F.lit(6000).alias("width"), F.lit(5000).alias("height"),
+        F.lit(0).alias("left"), F.lit(0).alias("top"), F.lit(6000).alias("width"), F.col("page_height").cast("int").alias("height"),
     )
     return sheet.unionByName(labels).unionByName(headers).unionByName(body)
 
@@ -155,8 +195,6 @@ def report_words(spark: SparkSession, sf_dir: str, page=None) -> DataFrame:
     incident = printed("incident", [(1, 1, "IUCR"), (1, 2, "0481"), (1, 3, "-"), (1, 4, "BATTERY"), (2, 1, "Occurrence"), (2, 2, "Date"), (2, 3, "01-JAN-2015"), (2, 4, "#12"), (3, 1, "IUCR"), (3, 2, "0482"), (3, 3, "-"), (3, 4, "BATTERY")])
     heads = printed("personnel", [(10, 2, "StarNo"), (10, 3, "Name"), (10, 4, "Beat")])
     told = printed("narrative", [(5, 1, "The"), (5, 2, "report"), (6, 1, "ends.")])
-    from pyspark.sql import Window
-
     listed = logs.where("party_name is not null").withColumn("i", F.row_number().over(Window.partitionBy("pdf_name").orderBy("sl_id")))
     cells = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.coalesce(F.col(n), F.lit("-")).alias("t")) for c, n in ((0, "party_role"), (2, "star_no"), (3, "party_name"), (4, "beat"))]))
     body = listed.select("pdf_name", "page_num", "i", cells.alias("r")).select("pdf_name", "page_num", "i", "r.*")
