@@ -16,17 +16,19 @@ own; ties of frequency go to the first in order; empty tables give empty results
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from paperloom.operators.form_keys import one_deletes
 from paperloom.operators.pairs import unequal_pairs
 from paperloom.operators.runs import map_runs
 from paperloom.session import written
 from paperloom.tables import spread
 
-#: Neighbours each entry is compared with in every pass and order.
+#: Neighbours each entry is compared with in every pass and order; crowded sides add an exact join.
 WINDOW = 12
 #: A tail that stands behind this share of street types is a town (so at most 1 / TOWN_SHARE).
 TOWN_SHARE, LEAST_TAILS = 0.005, 3
@@ -185,8 +187,11 @@ def spelling_heads(names: DataFrame, block: list[str], word: str = "name", count
     ``names`` has one row per block and spelling with its count. Two sorted-neighbourhood
     passes, one within equal first and one within equal last two letters, each in two orders:
     by letters from that end (WINDOW entries on both sides) and by frequency (the WINDOW
-    commonest). One edit spares the first or the last two letters. A spelling points at its commonest neighbour within
-    one edit, pointers are followed twice. Numbers and short words have to agree wholly.
+    commonest). Sides with more spellings than the windows cover are also joined on one-letter
+    deletions, so no spelling within one edit is missed: one edit spares the first or the last
+    two letters. A spelling points at its commonest neighbour within
+    one edit, pointers are followed twice. Numbers and words under five
+    letters (the longer of two counts) have to agree wholly.
     """
     near = []
     for order_key in (F.col(word), F.reverse(F.col(word))):
@@ -200,8 +205,13 @@ def spelling_heads(names: DataFrame, block: list[str], word: str = "name", count
         prv = F.collect_list(F.struct(F.col(count).alias("n"), F.col(word).alias("w"))).over(by.orderBy("along").rowsBetween(-WINDOW, -1))
         rows = rows.withColumns({"nxt": nxt, "prv": prv}).join(top, [*block, "side"])
         near.append(rows.select(*block, word, count, F.explode(F.array_distinct(F.concat("nxt", "prv", "top"))).alias("o")))
-    pairs = near[0].unionByName(near[1]).where((F.col("o.w") != F.col(word)) & (F.struct(F.col("o.n"), F.col("o.w")) > F.struct(F.col(count), F.col(word))))
-    pairs = pairs.where((F.length(word) >= 5) & (F.length("o.w") >= 5) & ~F.col(word).rlike(r"^\d") & one_edit(F.col(word), F.col("o.w")))
+        # a crowded side reaches beyond its windows: there any two spellings one edit apart share a deletion
+        crowded = names.withColumn("side", F.substring(order_key, 1, 2)).withColumn("held", F.count(F.lit(1)).over(Window.partitionBy(*block, "side")))
+        crowded = crowded.where(F.col("held") > WINDOW + 1).select(*block, "side", word, count, F.explode(one_deletes(F.col(word))).alias("variant"))
+        others = crowded.select(*block, "side", "variant", F.struct(F.col(count).alias("n"), F.col(word).alias("w")).alias("o"))
+        near.append(crowded.join(others, [*block, "side", "variant"]).select(*block, word, count, "o"))
+    pairs = reduce(DataFrame.unionByName, near).where((F.col("o.w") != F.col(word)) & (F.struct(F.col("o.n"), F.col("o.w")) > F.struct(F.col(count), F.col(word))))
+    pairs = pairs.where((F.greatest(F.length(word), F.length("o.w")) >= 5) & ~F.col(word).rlike(r"^\d") & one_edit(F.col(word), F.col("o.w")))
     up = pairs.groupBy(*block, word).agg(F.max("o").alias("o")).select(*block, word, F.col("o.w").alias("head"))
     up = written(up)
     heads = names.select(*block, word).join(up, [*block, word], "left").withColumn("head", F.coalesce("head", word))

@@ -1,9 +1,12 @@
 """Registered queries read their whole input: brute force on small tables."""
 
+import random
 import re
 
 import pytest
 
+from paperloom.functions import text as tx
+from paperloom.llm import places
 from paperloom.operators import form_keys
 from paperloom.plans import queries as core
 from paperloom.tables import read_table
@@ -61,3 +64,22 @@ def test_form_tables_read_every_cell_with_a_page(spark, data, tmp_path, tables):
     bands = core.queries()["section_bands"](spark, folder).collect()
     assert {(r["pdf_name"], r["page_num"], r["section"]) for r in bands} == pages and len(bands) == len(pages)
     assert all(r["top"] < r["band_top"] < r["band_bottom"] for r in bands)
+
+
+def test_spellings_of_a_crowded_block_by_brute_force(spark):
+    rng = random.Random(7)
+    words = sorted({"".join(rng.choice("abc") for _ in range(rng.randint(4, 9))) for _ in range(900)})
+    counts = {w: rng.randint(1, 40) for w in words}
+    up = {}
+    for w in words:
+        near = [o for o in words if (counts[o], o) > (counts[w], w) and max(len(o), len(w)) >= 5 and abs(len(o) - len(w)) <= 1 and tx.osa(o, w) == 1]
+        if near:
+            up[w] = max(near, key=lambda o: (counts[o], o))
+    want = {}
+    for w in words:
+        head = w
+        for _ in range(3):
+            head = up.get(head, head)
+        want[w] = head
+    names = spark.createDataFrame([(0, w, n) for w, n in counts.items()], "all int, name string, n long")
+    assert {r["name"]: r["head"] for r in places.spelling_heads(names, ["all"]).collect()} == want
