@@ -23,8 +23,8 @@ PROSE_COLUMNS = ("Initial / Intake Allegation", "Allegation", "Description of In
 #: glyphs that look alike. After both steps confusable words are the same string.
 STROKES = (("m", "rn"), ("w", "vv"), ("d", "cl"), ("h", "li"), ("n", "ri"), ("u", "ii"))
 GLYPHS = ("01|i€@+ƒ569c", "ollleatfsbge")
-#: A line template is furniture if it stands in this share of the laid-out texts, at least in LEAST_TEXTS.
-FURNITURE_SHARE, LEAST_TEXTS = 0.005, 4
+#: A line template is furniture only if it stands in LEAST_TEXTS texts, however many there are; words that tell it from prose.
+LEAST_TEXTS, STEM = 4, 3
 #: A letters-only form yields to one this many times as frequent; a form with odd glyphs to any
 #: form that stands in LEAST_RIGHT texts.
 RATIO, LEAST_RIGHT = 10, 2
@@ -84,25 +84,39 @@ def line_mask(line: Column) -> Column:
 def furniture_templates(lines: DataFrame) -> DataFrame:
     """mask of each line template that recurs across the laid-out texts and cuts into sentences.
 
-    A template counts by the number of different texts it stands in. It is furniture if it
-    neither begins in lower case nor ends a sentence, stands in FURNITURE_SHARE of those texts, and mostly follows a
-    line that ends no sentence, as a repeated line of prose does not. As a text has a bounded
-    number of lines on average, at most lines per text / FURNITURE_SHARE templates pass.
+    Nothing here depends on how many other texts there are. A template is furniture if it
+    neither begins in lower case nor ends a sentence, stands in LEAST_TEXTS different texts and
+    between as many different lines (copies of one text repeat its neighbours too; at the end of
+    texts the lines before are enough, at their top those after if they mostly begin anew), mostly
+    follows a line
+    that ends no sentence, and if its first STEM words, where they occur within the lines, mostly
+    begin one: prose wraps anywhere. Templates without a letter need no such stem.
     """
     w = Window.partitionBy(*KEYS, "copy").orderBy("ln")
+    filled = lines.where(F.col("many") & (F.col("line") != "")).withColumn("mask", line_mask(F.col("line")))
     laid = (
-        lines.where(F.col("many") & (F.col("line") != ""))
-        .withColumn("open", (~F.lag("line").over(w).rlike(r"[.?!]['\"”)]?$")).cast("int"))
-        .select("copy", line_mask(F.col("line")).alias("mask"), "open")
+        filled.withColumns({"before": F.lag("line").over(w), "after": F.lead("line").over(w)})
+        .withColumn("open", (~F.col("before").rlike(r"[.?!]['\"”)]?$")).cast("int"))
+        .withColumn("goes_on", F.col("after").rlike(r"^\p{Ll}").cast("int"))
+        .select("copy", "mask", "open", "goes_on", *[F.when(F.col(c).isNotNull(), F.xxhash64(c)).alias(c) for c in ("before", "after")])
         .where(~F.col("mask").rlike(r"^\p{Ll}|[.?!]$"))
     )
-    total = lines.where("many").agg(F.count_distinct("copy").alias("texts"))
-    counts = laid.groupBy("mask", "copy").agg(F.avg("open").alias("open")).groupBy("mask").agg(F.count(F.lit(1)).alias("n"), F.avg("open").alias("open"))
-    return (
-        counts.crossJoin(F.broadcast(total))  # one row
-        .where((F.col("n") >= F.greatest(F.lit(LEAST_TEXTS), F.col("texts") * FURNITURE_SHARE)) & (F.coalesce("open", F.lit(1.0)) >= 0.5))
-        .select("mask", F.lit(True).alias("known"))
-    )
+    texts = laid.groupBy("mask", "copy").agg(F.avg("open").alias("open")).groupBy("mask").agg(F.count(F.lit(1)).alias("n"), F.avg("open").alias("open"))
+    often = texts.where((F.col("n") >= LEAST_TEXTS) & (F.coalesce("open", F.lit(1.0)) >= 0.5)).select("mask")
+    varied = laid.join(often, "mask").groupBy("mask").agg(F.count_distinct("before").alias("b"), F.count_distinct("after").alias("a"), F.avg("goes_on").alias("goes_on"))
+    between = F.least("b", "a") >= LEAST_TEXTS
+    varied = varied.where(between | ((F.col("b") >= LEAST_TEXTS) & (F.col("a") == 0)) | ((F.col("a") >= LEAST_TEXTS) & (F.col("goes_on") < 0.5)))
+    stem = lambda words, at: F.xxhash64(F.array_join(F.slice(words, at, STEM), " "))
+    words = F.split("mask", " ")
+    # the stem of a template of fewer words is the whole of it
+    asked = varied.where(F.col("mask").rlike(r"\p{L}")).select("mask", F.least(F.size(words), F.lit(STEM)).alias("size"), stem(words, 1).alias("stem"))
+    starts = filled.select(F.split("mask", " ").alias("words")).select("words", F.posexplode("words").alias("at", "word")).where(~F.col("word").rlike(r"^\p{Ll}"))
+    grams = starts.select((F.col("at") == 0).cast("int").alias("begins"), F.posexplode(F.array(*[
+        F.when(F.size("words") - F.col("at") >= k, F.xxhash64(F.array_join(F.slice("words", F.col("at") + 1, k), " "))) for k in range(1, STEM + 1)
+    ])).alias("k", "stem")).where("stem is not null").select("begins", (F.col("k") + 1).alias("size"), "stem")
+    begun = grams.join(asked.select("size", "stem").distinct(), ["size", "stem"]).groupBy("size", "stem").agg(F.avg("begins").alias("share"))
+    alone = asked.join(begun.where(F.col("share") >= 0.5), ["size", "stem"]).select("mask")
+    return alone.unionByName(varied.where(~F.col("mask").rlike(r"\p{L}")).select("mask")).withColumn("known", F.lit(True))
 
 
 def marked_lines(lines: DataFrame) -> DataFrame:

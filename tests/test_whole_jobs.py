@@ -6,7 +6,7 @@ import re
 import pytest
 
 from paperloom.functions import text as tx
-from paperloom.llm import places
+from paperloom.llm import page_noise, places
 from paperloom.operators import form_keys
 from paperloom.plans import queries as core
 from paperloom.tables import read_table
@@ -83,3 +83,19 @@ def test_spellings_of_a_crowded_block_by_brute_force(spark):
         want[w] = head
     names = spark.createDataFrame([(0, w, n) for w, n in counts.items()], "all int, name string, n long")
     assert {r["name"]: r["head"] for r in places.spelling_heads(names, ["all"]).collect()} == want
+
+
+def test_header_of_one_unit_is_found_among_any_number_of_texts(spark):
+    rng = random.Random(3)
+    vocabulary = [f"{a}{b}" for a in ("bar", "con", "del", "fen", "gor", "hal") for b in ("ton", "mer", "vic", "sal", "dun")]
+    prose = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
+    unit = [(f"a{i:07x}", f"{prose(8)}\nUnit Seven Desk Copy {i}\n{prose(8)}.") for i in range(10)]
+    # an opening that copies share, and one that prose wraps behind, are no headers
+    opening = [(f"b{i:07x}", f"{prose(8)}\nThe caller added that {rng.choice(vocabulary)} {prose(3)}\n{prose(8)}. The caller added that\n{prose(5)}. {prose(2)} The caller added that {prose(2)}.") for i in range(10)]
+    copies = [(f"c{i:07x}", f"Then came the clerk\nShe Saw The Box and the\n{prose(8)}.") for i in range(10)]
+    others = [(f"d{i:07x}", f"{prose(6)}\n{prose(6)}.") for i in range(3000)]
+    cells = spark.createDataFrame([], "row_id long, column_name string, text string")
+    for more in ([], others):
+        extract = spark.createDataFrame(unit + opening + copies + more, "docid string, narrative string")
+        lines = page_noise.text_lines(page_noise.scanned_texts(extract, cells))
+        assert [r["mask"] for r in page_noise.furniture_templates(lines).collect()] == ["Unit Seven Desk Copy #"]
