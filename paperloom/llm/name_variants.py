@@ -152,9 +152,29 @@ def alignment(a: list[str], b: list[str]) -> float | None:
     return best
 
 
+def assignable(a: list[str], b: list[str]) -> bool:
+    """Whether every token of the shorter list can have a token of the longer one of its own
+    (bipartite matching by augmenting paths), for lists of any length."""
+    if len(a) > len(b):
+        a, b = b, a
+    fits = [[i for i, y in enumerate(b) if token_cost(x, y) is not None] for x in a]
+    taken: dict[int, int] = {}
+
+    def placed(k: int, tried: set[int]) -> bool:
+        for i in fits[k]:
+            if i not in tried:
+                tried.add(i)
+                if i not in taken or placed(taken[i], tried):
+                    taken[i] = k
+                    return True
+        return False
+
+    return all(placed(k, set()) for k in range(len(a)))
+
+
 def _compatible(x: dict, y: dict) -> bool:
     if x["kind"] == "o":
-        return alignment(x["given"].split()[:5], y["given"].split()[:5]) is not None
+        return assignable(x["given"].split(), y["given"].split())
     for k in ("middle", "suffix"):
         if x[k] and y[k] and x[k] != y[k]:
             return False

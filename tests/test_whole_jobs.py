@@ -6,7 +6,7 @@ import re
 import pytest
 
 from paperloom.functions import text as tx
-from paperloom.llm import page_noise, places
+from paperloom.llm import name_variants, page_noise, places
 from paperloom.operators import form_keys
 from paperloom.plans import queries as core
 from paperloom.tables import read_table
@@ -99,3 +99,14 @@ def test_header_of_one_unit_is_found_among_any_number_of_texts(spark):
         extract = spark.createDataFrame(unit + opening + copies + more, "docid string, narrative string")
         lines = page_noise.text_lines(page_noise.scanned_texts(extract, cells))
         assert [r["mask"] for r in page_noise.furniture_templates(lines).collect()] == ["Unit Seven Desk Copy #"]
+
+
+def test_organisations_are_compared_on_all_words():
+    rng = random.Random(5)
+    org = lambda words: {"kind": "o", "given": words, "middle": "", "suffix": ""}
+    long = "harbor quarter velvet lantern copper meadow"
+    assert not name_variants._compatible(org(f"{long} bakery"), org(f"{long} foundry"))
+    assert name_variants._compatible(org(f"{long} bakery"), org(f"bakery {long}")) and name_variants._compatible(org(f"{long} bakery"), org(long))
+    for _ in range(400):
+        a, b = ([rng.choice(["harbor", "h", "harbr", "velvet", "v", "copper", "c"]) for _ in range(rng.randint(0, 5))] for _ in range(2))
+        assert name_variants.assignable(a, b) == (name_variants.alignment(a, b) is not None)
