@@ -4,8 +4,9 @@ The loads of one form cell are duplicates. Each is placed by completeness (lette
 its text holds), trust (no damage from scanning, a page that exists) and recency (loaded_at).
 Records that no other dominates form the first layer, the records dominated only by that layer
 the second, and so on. The text comes from the first layer by the lexicographic policy trust,
-completeness, recency; a field that the chosen record leaves null is filled from the best
-record of the next layers that holds it.
+completeness, recency, which no other record with text dominates, so the layers never change
+the pick. page_num isn't filled from later layers: by TESTDATA.md it is that of the last load
+whose page exists for the file, whatever its layer.
 
 Defined results: a cell whose loads hold no text at all keeps a null text_row_id; a cell
 without a load on a page of its file a null page_num. Of exactly repeated loads (same text,
