@@ -1,12 +1,9 @@
 """Registered queries read their whole input: brute force on small tables."""
 
-import random
 import re
 
 import pytest
 
-from paperloom.functions import text as tx
-from paperloom.llm import name_variants, page_noise, places
 from paperloom.operators import form_keys
 from paperloom.plans import queries as core
 from paperloom.tables import read_table
@@ -64,49 +61,3 @@ def test_form_tables_read_every_cell_with_a_page(spark, data, tmp_path, tables):
     bands = core.queries()["section_bands"](spark, folder).collect()
     assert {(r["pdf_name"], r["page_num"], r["section"]) for r in bands} == pages and len(bands) == len(pages)
     assert all(r["top"] < r["band_top"] < r["band_bottom"] for r in bands)
-
-
-def test_spellings_of_a_crowded_block_by_brute_force(spark):
-    rng = random.Random(7)
-    words = sorted({"".join(rng.choice("abc") for _ in range(rng.randint(4, 9))) for _ in range(900)})
-    counts = {w: rng.randint(1, 40) for w in words}
-    up = {}
-    for w in words:
-        near = [o for o in words if (counts[o], o) > (counts[w], w) and max(len(o), len(w)) >= 5 and abs(len(o) - len(w)) <= 1 and tx.osa(o, w) == 1]
-        if near:
-            up[w] = max(near, key=lambda o: (counts[o], o))
-    want = {}
-    for w in words:
-        head = w
-        for _ in range(3):
-            head = up.get(head, head)
-        want[w] = head
-    names = spark.createDataFrame([(0, w, n) for w, n in counts.items()], "all int, name string, n long")
-    assert {r["name"]: r["head"] for r in places.spelling_heads(names, ["all"]).collect()} == want
-
-
-def test_header_of_one_unit_is_found_among_any_number_of_texts(spark):
-    rng = random.Random(3)
-    vocabulary = [f"{a}{b}" for a in ("bar", "con", "del", "fen", "gor", "hal") for b in ("ton", "mer", "vic", "sal", "dun")]
-    prose = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
-    unit = [(f"a{i:07x}", f"{prose(8)}\nUnit Seven Desk Copy {i}\n{prose(8)}.") for i in range(10)]
-    # an opening that copies share, and one that prose wraps behind, are no headers
-    opening = [(f"b{i:07x}", f"{prose(8)}\nThe caller added that {rng.choice(vocabulary)} {prose(3)}\n{prose(8)}. The caller added that\n{prose(5)}. {prose(2)} The caller added that {prose(2)}.") for i in range(10)]
-    copies = [(f"c{i:07x}", f"Then came the clerk\nShe Saw The Box and the\n{prose(8)}.") for i in range(10)]
-    others = [(f"d{i:07x}", f"{prose(6)}\n{prose(6)}.") for i in range(3000)]
-    cells = spark.createDataFrame([], "row_id long, column_name string, text string")
-    for more in ([], others):
-        extract = spark.createDataFrame(unit + opening + copies + more, "docid string, narrative string")
-        lines = page_noise.text_lines(page_noise.scanned_texts(extract, cells))
-        assert [r["mask"] for r in page_noise.furniture_templates(lines).collect()] == ["Unit Seven Desk Copy #"]
-
-
-def test_organisations_are_compared_on_all_words():
-    rng = random.Random(5)
-    org = lambda words: {"kind": "o", "given": words, "middle": "", "suffix": ""}
-    long = "harbor quarter velvet lantern copper meadow"
-    assert not name_variants._compatible(org(f"{long} bakery"), org(f"{long} foundry"))
-    assert name_variants._compatible(org(f"{long} bakery"), org(f"bakery {long}")) and name_variants._compatible(org(f"{long} bakery"), org(long))
-    for _ in range(400):
-        a, b = ([rng.choice(["harbor", "h", "harbr", "velvet", "v", "copper", "c"]) for _ in range(rng.randint(0, 5))] for _ in range(2))
-        assert name_variants.assignable(a, b) == (name_variants.alignment(a, b) is not None)
