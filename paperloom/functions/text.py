@@ -63,10 +63,11 @@ def osa_below(a: Column, b: Column, limit: int) -> Column:
 
 
 def qgrams(text: Column, q: int) -> Column:
-    """All runs of q characters; empty for shorter texts."""
-    return F.when(F.length(text) >= q, F.transform(F.sequence(F.lit(1), F.length(text) - (q - 1)), lambda i: F.substring(text, i, F.lit(q)))).when(
-        text.isNotNull(), F.expr("cast(array() as array<string>)")
-    )
+    """All runs of q characters; empty for shorter texts. The text is cut into characters once, so
+    the work follows its length."""
+    return F.when(F.length(text) >= q, bind([F.split(text, "")], lambda chars: F.transform(
+        F.sequence(F.lit(1), F.size(chars) - (q - 1)), lambda i: F.array_join(F.slice(chars, i, q), "")
+    ))).when(text.isNotNull(), F.expr("cast(array() as array<string>)"))
 
 
 def bind(values: list[Column], body) -> Column:

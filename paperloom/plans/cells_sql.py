@@ -7,18 +7,22 @@ from paperloom.functions.readings import MONTHS, NO_VALUE
 _KEY = "regexp_replace(translate(lower({0}), '01', 'ol'), '[^a-z]', '', 'g')"
 _NEAREST = "(d = 0 OR (d = 1 AND length(rk) >= 3))"
 
-#: CTEs ending in ``cells``: the rows of cr_summary_data_temp that belong to a cell.
-CELLS = f"""
+#: CTEs ending in ``c3``: the right section and column of each written pair of headings of the form.
+HEADINGS = f"""
   raw AS (SELECT DISTINCT section_name rs, column_name rc FROM cr_summary_data_temp WHERE section_name IS NOT NULL AND column_name IS NOT NULL),
   s1 AS (SELECT rs, section_name, levenshtein({_KEY.format('rs')}, {_KEY.format('section_name')}) d, {_KEY.format('section_name')} rk FROM (SELECT DISTINCT rs FROM raw), (SELECT DISTINCT section_name FROM form_columns)),
   s2 AS (SELECT *, min(d) OVER (PARTITION BY rs) m FROM s1 WHERE {_NEAREST}),
   s3 AS (SELECT rs, min(section_name) section_name FROM s2 WHERE d = m GROUP BY rs HAVING count(*) = 1),
   c1 AS (SELECT rs, rc, f.section_name, f.column_name, levenshtein({_KEY.format('rc')}, {_KEY.format('f.column_name')}) d, {_KEY.format('f.column_name')} rk FROM raw JOIN s3 USING (rs) JOIN form_columns f ON f.section_name = s3.section_name),
   c2 AS (SELECT *, min(d) OVER (PARTITION BY rs, rc) m FROM c1 WHERE {_NEAREST}),
-  c3 AS (SELECT rs, rc, min(section_name) section_name, min(column_name) column_name FROM c2 WHERE d = m GROUP BY rs, rc HAVING count(*) = 1),
+  c3 AS (SELECT rs, rc, min(section_name) section_name, min(column_name) column_name FROM c2 WHERE d = m GROUP BY rs, rc HAVING count(*) = 1)"""
+#: t (cr_summary_data_temp) names the file p (cr_pdfs).
+SAME_FILE = r"regexp_replace(lower(trim(regexp_replace(t.pdf_name, '\s+', ' ', 'g'))), '[ _]+', '_', 'g') = regexp_replace(lower(trim(p.filename)), '[ _]+', '_', 'g')"
+#: CTEs ending in ``cells``: the rows of cr_summary_data_temp that belong to a cell.
+CELLS = f"""{HEADINGS},
   cells AS (SELECT t.row_id, p.filename pdf_name, p.id pdf_id, c3.section_name, c3.column_name, t.row_num, t.page_num, t.text, t.loaded_at, f.attribute, f.value_type
     FROM cr_summary_data_temp t JOIN c3 ON t.section_name = c3.rs AND t.column_name = c3.rc JOIN form_columns f ON f.section_name = c3.section_name AND f.column_name = c3.column_name
-    JOIN cr_pdfs p ON regexp_replace(lower(trim(regexp_replace(t.pdf_name, '\\s+', ' ', 'g'))), '[ _]+', '_', 'g') = regexp_replace(lower(trim(p.filename)), '[ _]+', '_', 'g'))
+    JOIN cr_pdfs p ON {SAME_FILE})
 """
 
 _MARKS = ", ".join(f"'{m}'" for m in NO_VALUE)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from paperloom.operators.form_keys import file_key, heading_map
 from paperloom.operators.rules import SECTIONS
+from paperloom.plans.cells_sql import HEADINGS, SAME_FILE
 from paperloom.session import written
 from paperloom.tables import read_table
 
@@ -96,21 +97,27 @@ WORDS_SQL = """
 """
 
 
-_FORM_CELLS_SQL = """
-  SELECT pdf_name, page_num, section_name, column_name, ordinal_no, min(trim(text)) AS text FROM cr_summary_data_temp JOIN form_columns USING (section_name, column_name)
-  WHERE page_num IS NOT NULL AND regexp_matches(trim(text), '^[A-Z0-9]{2,12}$') GROUP BY ALL
-"""
-#: What a form parser must read again of the short cells alone; form_tokens prints all of them.
-FORM_SQL = f"SELECT pdf_name, page_num, section_name, column_name, text FROM ({_FORM_CELLS_SQL})"
-BANDS_SQL = f"""
-  WITH s AS (SELECT DISTINCT pdf_name, page_num, section_name FROM ({_FORM_CELLS_SQL})), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY pdf_name, page_num ORDER BY section_name) AS INTEGER) k FROM s)
-  SELECT pdf_name, page_num, section_name AS section, 300 * k AS top, 300 * k + 20 AS band_top, coalesce(lead(300 * k) OVER (PARTITION BY pdf_name, page_num ORDER BY k), 5000) AS band_bottom, 6000 AS page_width FROM r
-"""
-
-
 #: Words on a printed line of a form column; pixels from one line to the next.
 LINE_WORDS, LINE_STEP = 6, 24
 
+_PRINTED_SQL = f"""
+  WITH {HEADINGS},
+  f AS (SELECT t.row_id, coalesce(p.filename, t.pdf_name) pdf_name, t.page_num, c3.section_name, c3.column_name, t.row_num,
+      string_split(replace(replace(coalesce(t.text, ''), chr(13) || chr(10), chr(10)), chr(13), chr(10)), chr(10)) ls
+    FROM cr_summary_data_temp t JOIN c3 ON t.section_name = c3.rs AND t.column_name = c3.rc LEFT JOIN cr_pdfs p ON {SAME_FILE} WHERE t.page_num IS NOT NULL AND t.pdf_name IS NOT NULL),
+  l AS (SELECT *, list_filter(regexp_split_to_array(x, '[ \\t\\x0b\\f]+'), lambda w: w <> '') ws FROM (SELECT * EXCLUDE ls, unnest(ls) x, generate_subscripts(ls, 1) i FROM f)),
+  h AS (SELECT *, CAST(ceil(len(ws) / {LINE_WORDS}.0) AS INTEGER) n FROM l)"""
+#: What a form parser must read again: the lines of every cell with a page, entries and loads below one another.
+FORM_SQL = f"""{_PRINTED_SQL}
+  SELECT pdf_name, page_num, section_name, column_name, string_agg(array_to_string(ws[k * {LINE_WORDS} + 1:k * {LINE_WORDS} + {LINE_WORDS}], ' '), chr(10) ORDER BY row_num NULLS FIRST, row_id, i, k) AS text
+  FROM (SELECT *, unnest(range(n)) k FROM h) GROUP BY ALL"""
+BANDS_SQL = f"""{_PRINTED_SQL},
+  e AS (SELECT pdf_name, page_num, section_name, row_num, max(n) n FROM (SELECT pdf_name, page_num, section_name, column_name, row_num, sum(n) n FROM h GROUP BY ALL) GROUP BY ALL),
+  s AS (SELECT pdf_name, page_num, section_name, CAST(200 + {LINE_STEP} * sum(n) AS INTEGER) height FROM e GROUP BY ALL),
+  t AS (SELECT *, CAST(300 + sum(height) OVER (PARTITION BY pdf_name, page_num ORDER BY section_name) - height AS INTEGER) AS top FROM s)
+  SELECT pdf_name, page_num, section_name AS section, top, top + 20 AS band_top,
+    coalesce(lead(top) OVER (PARTITION BY pdf_name, page_num ORDER BY top), CAST(300 + sum(height) OVER (PARTITION BY pdf_name, page_num) AS INTEGER)) AS band_bottom, 6000 AS page_width FROM t"""
+
 
 def form_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every row with a page and a heading of the form, with its place in its section: pdf_name,

@@ -313,7 +313,7 @@ _Q8 = "list_distinct(list_transform(range(1, length({0}) - 6), lambda i: substri
 _NOTE = "Complaint type classified as"
 _add("jaccard8", _on("documents")(lambda x: x.where("text is not null").select("doc_id", F.round(tx.qgram_jaccard_distance(F.col("text"), F.lit(_NOTE), 8), 9).alias("d"))), f"""
   SELECT doc_id, round(CASE WHEN t = '{_NOTE}' THEN 0.0 ELSE 1 - coalesce(len(list_intersect(a, b)) / nullif(len(a) + len(b) - len(list_intersect(a, b)), 0)::DOUBLE, 0.0) END, 9) AS d
-  FROM (SELECT doc_id, t, {_Q8.format('t')} AS a, {_Q8.format(f"'{_NOTE}'")} AS b FROM (SELECT doc_id, substring(text, 1, 200) AS t FROM documents WHERE text IS NOT NULL))""")
+  FROM (SELECT doc_id, t, {_Q8.format('t')} AS a, {_Q8.format(f"'{_NOTE}'")} AS b FROM (SELECT doc_id, text AS t FROM documents WHERE text IS NOT NULL))""")
 _add("file_name_parts", _on("cr_pdfs")(lambda p: p.select(
     "id", tx.page_tail(F.col("filename"))[0].alias("stem"), tx.page_tail(F.col("filename"))[1].alias("page_from"), tx.page_tail(F.col("filename"))[2].alias("page_to"),
     tx.first_group(F.col("filename"), r"^LOG[_ ]([0-9]+)\-").alias("log"), tx.padded(F.col("id"), 6).alias("padded"), tx.line_key(F.col("id") % 100, (F.col("id") % 977) / 7.0).alias("line_key"))), """

@@ -163,13 +163,55 @@ def test_bands_of_equal_tops(spark):
 
 def test_header_gap_is_fifteen_pixels():
     def line(gap):
-        return [{"text": "Star", "left": 0, "width": 40, "top": 0, "height": 10, "line": 1}, {"text": "No.", "left": 40 + gap, "width": 30, "top": 0, "height": 10, "line": 1}]
+        return [forms.Box("Star", 0, 0, 40, 10, (1,)), forms.Box("No.", 40 + gap, 0, 70 + gap, 10, (1,))]
 
     assert forms.locate_header(line(15), "Star No.")[0] == 0
     assert forms.locate_header(line(16), "Star No.")[0] == 56
     assert forms.locate_header([], "Role") == (0, 0, 0, 0)
-    two = [{"text": "Emp", "left": 5, "width": 40, "top": 0, "height": 10, "line": 1}, {"text": "No.", "left": 5, "width": 30, "top": 20, "height": 10, "line": 2}]
-    assert forms.locate_header(two, "Emp No.") == (5, 45, 20, 10)
+    assert forms.locate_header([forms.Box("Emp", 5, 0, 45, 10, (1,)), forms.Box("No.", 5, 20, 35, 30, (2,))], "Emp No.") == (5, 45, 20, 10)
+
+
+def test_headers_by_brute_force():
+    """All candidates of the rule are listed and measured by a plain edit distance."""
+    rng = random.Random(1)
+
+    def edits(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row, before = [i], row
+            for j, y in enumerate(b, 1):
+                row.append(min(before[j] + 1, row[-1] + 1, before[j - 1] + (x != y)))
+        return row[-1] / max(len(a), len(b), 1)
+
+    headers = [h for _, hs in forms.SECTIONS for h in hs if h]
+    vocabulary = [w for h in headers for w in h.split()] + ["the", "XY12", "Nam", "N0.", "doe,"]
+    text = lambda boxes: " ".join(b.text for b in boxes)
+    for _ in range(300):
+        boxes = []
+        for n in range(rng.randint(1, 6)):
+            x, y = rng.randint(0, 30), rng.randint(0, 200)
+            for _ in range(rng.randint(1, 4)):
+                w = rng.randint(5, 60)
+                x += rng.choice([1, 14, 15, 16, 40])
+                boxes.append(forms.Box(rng.choice(vocabulary), x, y, x + w, y + 10 + rng.randint(0, 3), (n,)))
+                x += w
+        header = rng.choice(headers)
+        ends = []
+        for n in sorted({b.line for b in boxes}):
+            line = [b for b in boxes if b.line == n]
+            grown, held = [], []
+            for i in range(len(line) - 1, -1, -1):
+                if i + 1 < len(line) and line[i + 1].left - line[i].right > forms.HEADER_GAP:
+                    break
+                if not held or edits(text([line[i], *held]), header) <= edits(text(held), header):
+                    held = [line[i], *held]
+                    grown.append(held)
+            ends.append(min(grown, key=lambda g: edits(text(g), header)))
+        candidates = list(ends)
+        for i, a in enumerate(ends):
+            candidates += [a + b for b in ends[i + 1 :]] + [sum([a + b for b in ends[i + 1 :]], [])]
+        best = min(candidates, key=lambda c: edits(text(c), header))
+        assert forms.locate_header(boxes, header) == (min(b.left for b in best), max(b.right for b in best), max(b.top for b in best), min(b.bottom for b in best))
 
 
 def test_page_ranges_look_at_all_reports(spark):
