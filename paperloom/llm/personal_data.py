@@ -36,6 +36,8 @@ from paperloom.tables import spread
 
 #: Texts that the model is fitted on at most (the first by a hash of id and text).
 MOST_TRAINING = 1500
+#: A word is a name if at least one in so many of its capitalised uses follows a title in its place.
+LEAST_TITLED = 20
 #: Rounds of message passing.
 ROUNDS = 6
 LABELS = ("plain", "name", "email", "phone", "idnum", "address")
@@ -88,31 +90,35 @@ def _skeleton(low: str) -> str:
     return low.translate(str.maketrans(*GLYPHS))
 
 
-def common_words(texts: list[str]) -> frozenset[str]:
-    """Words written in lower case at least a quarter as often as with a capital."""
+def word_cases(texts: list[str]) -> tuple[Counter, Counter]:
+    """How often each word stands in lower case, and how often with a capital."""
     low, high = Counter(), Counter()
     for text in texts:
         for token in text.split():
             core = token.strip(_EDGES)
             if core.isalpha():
                 (low if core.islower() else high)[core.lower()] += 1
-    return frozenset(w for w, n in low.items() if 4 * n >= high[w])
+    return low, high
 
 
 class Labeller:
     """Labels of training tokens by structure; names are learned from titles and comma order."""
 
-    def __init__(self, texts: list[str], common: frozenset[str]):
-        self.common = common
-        self.given, self.family = Counter(), Counter()
+    def __init__(self, texts: list[str]):
+        low, high = word_cases(texts)
+        #: words written in lower case at least a quarter as often as with a capital
+        self.common = frozenset(w for w, n in low.items() if 4 * n >= high[w])
+        given, family = Counter(), Counter()
         for text in texts:
             cores = self._cores(text)
             for i, (core, end) in enumerate(cores[:-1]):
                 if self._title(core) and (body := self._body(cores, i + 1)):
-                    _, given, family = body
-                    self.family[cores[family][0].lower()] += 1
-                    if given is not None and len(cores[given][0]) > 2:
-                        self.given[cores[given][0].lower()] += 1
+                    family[cores[body[2]][0].lower()] += 1
+                    if body[1] is not None and len(cores[body[1]][0]) > 2:
+                        given[cores[body[1]][0].lower()] += 1
+        # a word that seldom follows a title stood there by accident
+        self.given = {w for w, n in given.items() if n * LEAST_TITLED >= high[w]}
+        self.family = {w for w, n in family.items() if n * LEAST_TITLED >= high[w]}
 
     def _cores(self, text: str) -> list[tuple[str, str]]:
         """Core and the punctuation behind it, of each token."""
@@ -334,9 +340,8 @@ class SkipChain:
         return np.array(out, np.int64).reshape(-1, 2)
 
     def fit(self, texts: list[str], epochs: int = 4, rate: float = 0.15) -> "SkipChain":
-        common = common_words(texts)
-        labeller = Labeller(texts, common)
-        self.features = Featurizer(common)
+        labeller = Labeller(texts)
+        self.features = Featurizer(labeller.common)
         docs = [[t[a:b] for a, b in tokens_of(t)] for t in texts]
         y = np.array([k for t in texts for k in labeller.labels(t)], np.int64)
         if not (y >= 0).any():
