@@ -56,6 +56,23 @@ def _runs(key: str, table: str) -> str:
 _LEAKS = f"WITH a AS ({_runs('doc_id', 'documents')}), b AS ({_runs('item_id', 'eval_items')}) SELECT DISTINCT doc_id, item_id FROM a JOIN b USING (k)"
 
 
+_UNITS = ", ".join(f"'{u}'" for u in sorted(leakage.UNITS))
+_TEMPLATE = f"list_transform(w, lambda x: CASE WHEN regexp_matches(x, '\\p{{Nd}}') THEN '#num' WHEN x IN ({_UNITS}) THEN '#unit' WHEN list_contains(ns, x) THEN '#name' ELSE x END)"
+
+
+def _windows(key: str, table: str) -> str:
+    return f"SELECT {key}, array_to_string(t[i:i + 11], ' ') k, w[i:i + 11] v FROM (SELECT {key}, w, t, unnest(range(1, len(w) - 10)) i FROM (SELECT {key}, w, {_TEMPLATE} t FROM (SELECT {key}, {_WORDS} w, ns FROM {table}, (SELECT list(x) ns FROM names) WHERE {key} IS NOT NULL)))"
+
+
+_CHANGED = f"""
+  WITH raw AS (SELECT unnest(r) x, generate_subscripts(r, 1) i FROM (SELECT regexp_extract_all(text, '[\\p{{L}}\\p{{N}}]+') r FROM eval_items)),
+  names AS (SELECT lower(x) x FROM raw GROUP BY 1 HAVING bool_and(i > 1 AND left(x, 1) <> lower(left(x, 1)))),
+  a AS ({_windows('doc_id', 'documents')}), b AS ({_windows('item_id', 'eval_items')}),
+  m AS (SELECT doc_id, item_id, a.v = b.v exact, list_zip(a.v, b.v) z, a.v av, b.v bv FROM a JOIN b USING (k)),
+  c AS (SELECT doc_id, item_id, exact, NOT exact AND len(list_distinct(z)) = len(list_distinct(av)) AND len(list_distinct(av)) = len(list_distinct(bv)) AS changed FROM m)
+  SELECT doc_id, item_id, CAST(count(*) FILTER (exact) AS INTEGER) AS exact_windows, CAST(count(*) FILTER (changed) AS INTEGER) AS changed_windows FROM c WHERE exact OR changed GROUP BY doc_id, item_id"""
+
+
 def oracle_sql() -> dict[str, str]:
     """Where SQL can say it; the others are held against brute force in tests/llm."""
-    return {"p4_found": _NEAR_COPIES, "p9_found": _LEAKS}
+    return {"p4_found": _NEAR_COPIES, "p9_found": _LEAKS, "p9_changed": _CHANGED}

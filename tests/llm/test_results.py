@@ -46,13 +46,24 @@ def test_leaks_by_brute_force(spark, data):
     assert {tuple(r) for r in leakage.leaks_found(docs, items).collect()} == want
 
 
-def test_changed_slots_must_be_consistent():
-    index = leakage.ItemIndex([(1, "on day 25 the clerk counted 25 boxes and sent 7 of them back to the archive")])
-    found = lambda t: list(index.matches(t))
-    assert all(exact for _, exact, _ in found("On day 25, the clerk counted 25 boxes and sent 7 of them back!")) and found("on day 25 the clerk counted 25 boxes and sent 7 of them back")
-    assert [(e, c) for _, e, c in found("on day 31 the clerk counted 31 boxes and sent 9 of")] == [(False, True)]
-    assert [(e, c) for _, e, c in found("on day 31 the clerk counted 32 boxes and sent 9 of")] == [(False, False)]
-    assert not found("on day 25 the clerk counted")
+def test_changed_slots_must_be_consistent(spark):
+    items = spark.createDataFrame([(1, "on day 25 the clerk counted 25 boxes and sent 7 of them back to the archive"), (2, "so the baker Vilma met Oskar near the old mill and gave Vilma his coat at ten"), (3, None), (4, "too short")], "item_id long, text string")
+    texts = [
+        "On day 25, the clerk counted 25 boxes and sent 7 of them back!", "on day 31 the clerk counted 31 boxes and sent 9 of", "on day 31 the clerk counted 32 boxes and sent 9 of", "on day 25 the clerk counted", None, "",
+        "so the baker oskar met vilma near the old mill and gave oskar his coat at ten", "so the baker oskar met vilma near the old mill and gave vilma his coat at ten", "so the baker Petra met Oskar near the old mill and gave Petra his coat at ten",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {tuple(r) for r in leakage.leaked_windows(docs, items).collect()}
+    # windows of the sixth end in names that aren't changed back; Petra is no name of the items
+    assert got == {(0, 1, 3, 0), (1, 1, 0, 1), (6, 2, 0, 6)} | {r for r in got if r[0] == 7}
+    assert all(r[2] == 0 and r[3] < 6 for r in got if r[0] == 7)
+
+
+def test_a_full_map_loses_no_leak(spark, data, monkeypatch):
+    docs, items = read_table(spark, data, "documents"), read_table(spark, data, "eval_items")
+    want = {tuple(r) for r in leakage.leaked_windows(docs, items).collect()}
+    monkeypatch.setattr(leakage, "BITS", 64)
+    assert {tuple(r) for r in leakage.leaked_windows(docs, items).collect()} == want and want
 
 
 def test_levels_of_held_out_samples(spark, data):
