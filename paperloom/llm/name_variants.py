@@ -2,11 +2,13 @@
 
 Every token of the names enters a symmetric-delete index: tokens that share a string with one
 letter left out are neighbours, and those within one edit (a swap is one) point at the commonest
-of them. Roles of tokens (family name, given name, organisation word) are counted over all
-names written with a comma or a legal form. Names of one log or one star are then aligned token
-by token: the assignment with the least cost decides, where a token may meet an equal one, a
-nickname, its initial, or an abbreviation of it. A name that leaves parts out goes with the
-commonest entity it fits.
+of them, unless both stand on their own. Roles of tokens (family name, given name, organisation
+word) are counted over all names written with a comma or a legal form, and given names that keep
+meeting in one family of one log or star are learned as formal and short form. Names of one log
+or star and one family name (organisations: first word) are then aligned token by token: the
+assignment of least cost decides, over all tokens of both names, where a token may meet an equal
+one, its short form, its initial, or an abbreviation of it, and leaving its place costs. A name
+that leaves parts out goes with the commonest entity it fits.
 
 Defined results: null and blank names and stand-ins name nobody; rows written as the same
 string are no pair but the same entity; repeated rows are rows of their own; names with
@@ -16,7 +18,6 @@ unequal suffixes, given names or middle initials differ; empty tables give empty
 from __future__ import annotations
 
 import re
-from itertools import permutations
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 from paperloom.llm.places import one_edit
 from paperloom.operators.form_keys import one_deletes
-from paperloom.operators.pairs import unequal_pairs
+from paperloom.operators.pairs import linked_classes, unequal_pairs
 from paperloom.operators.runs import map_runs
 from paperloom.session import written
 from paperloom.tables import spread
@@ -32,8 +33,20 @@ from paperloom.tables import spread
 #: Shortest token that may be misspelt.
 LEAST_LETTERS = 4
 
-#: Formal given names and the short forms in use for them.
+#: A spelling with OWN_ROWS rows, or a given name that differs in its last vowel, stays on its own
+#: beside one that is less than OWN_RATIO times as frequent.
+OWN_ROWS, OWN_RATIO = 5, 20
+#: Families in which two given names must meet to be learned as one, and the share of the rarer one's meetings.
+LEAST_FAMILIES, LEAST_MET = 3, 0.5
+
+#: Formal given names and the short forms in common use for them.
 NICKNAMES = {
+    "abigail": "abby gail", "alexander": "alec sandy", "andrew": "andy drew", "barbara": "barb babs", "benjamin": "ben benny", "catherine": "cathy cate",
+    "christine": "chrissy tina", "christopher": "topher", "daniel": "dan danny", "david": "dave davy", "deborah": "deb debbie", "donald": "don donny",
+    "frederick": "fred freddy", "gerald": "gerry", "gregory": "greg", "henry": "hank", "jacob": "jake", "jeffrey": "jeff", "jennifer": "jen jenny",
+    "jessica": "jess jessie", "john": "jack johnny", "joseph": "joe joey", "joshua": "josh", "kenneth": "ken kenny", "lawrence": "larry", "matthew": "matt",
+    "michael": "mike mick mikey", "nicholas": "nick nicky", "pamela": "pam", "peter": "pete", "philip": "phil", "raymond": "ray", "rebecca": "becky becca",
+    "ronald": "ron ronny", "stephen": "steve stevie", "steven": "steve", "susan": "suzie", "thomas": "tom tommy", "timothy": "tim timmy", "virginia": "ginny",
     "alexandra": "sandra alex lexi sasha sandy", "anthony": "tony", "beatriz": "bea trixie triz", "charles": "charlie chuck chas",
     "desmond": "des desi dez", "dorothy": "dot dottie dolly", "edward": "ed eddie ned ward", "elizabeth": "liz beth betty eliza lizzie betsy libby",
     "francisco": "frank paco pancho cisco", "gabriela": "gaby gabi gabby", "harold": "hal harry", "ignacio": "nacho iggy",
@@ -78,13 +91,17 @@ def name_tokens(raw: str | None) -> list[tuple[str, int]]:
 
 
 def token_heads(tokens: DataFrame) -> DataFrame:
-    """token, head: the commonest spelling each token stands for. ``tokens`` has token and n."""
+    """token, head: the commonest spelling each token stands for. ``tokens`` has token, n (rows) and
+    giv (rows in which it stands as a given name)."""
     long = tokens.where(F.length("token") >= LEAST_LETTERS)
-    index = written(long.select("token", "n", F.explode(one_deletes(F.col("token"))).alias("part")))
+    index = written(long.select("token", "n", "giv", F.explode(one_deletes(F.col("token"))).alias("part")))
     a, b = index.alias("a"), index.alias("b")
+    stem = lambda c: F.regexp_replace(c, "[aeiouy]$", "")
+    other = (stem("a.token") == stem("b.token")) & (2 * F.col("b.giv") > F.col("b.n"))
+    alone = (OWN_RATIO * F.col("a.n") > F.col("b.n")) & ((F.col("a.n") >= OWN_ROWS) | other)
     near = (
         a.join(b, (F.col("a.part") == F.col("b.part")) & (F.struct("b.n", "b.token") > F.struct("a.n", "a.token")))
-        .where(~F.col("a.token").isin(*FORMAL) & one_edit(F.col("a.token"), F.col("b.token")))
+        .where(~F.col("a.token").isin(*FORMAL) & ~alone & one_edit(F.col("a.token"), F.col("b.token")))
         .groupBy(F.col("a.token").alias("token"))
         .agg(F.max(F.struct(F.col("b.n").alias("n"), F.col("b.token").alias("t"))).alias("up"))
         .select("token", F.col("up.t").alias("head"))
@@ -96,8 +113,34 @@ def token_heads(tokens: DataFrame) -> DataFrame:
     return tokens.select("token").join(near, "token", "left").withColumn("head", F.coalesce("head", "token"))
 
 
-def _parse(tokens: list[tuple[str, int, str, int, int, int]]):
-    """(kind, family, given, middle, suffix) of a name's tokens with heads and role counts."""
+def learned_forms(rows: DataFrame, tokens: DataFrame) -> DataFrame:
+    """head, formal: given names that stand for a commoner one, learned from names with a comma.
+
+    Two given names that meet under one family name in one log or star, in LEAST_FAMILIES
+    different families and in a share LEAST_MET of the families in which the rarer meets any other, are
+    one name if they share the first letter or two in a row; relatives meet with any given name. The distinct given names of a family in a log
+    or star are few.
+    """
+    said = tokens.where("role in (1, 2)").groupBy("raw").agg(
+        F.min_by("head", F.when(F.col("role") == 1, F.col("i"))).alias("family"), F.min_by("head", F.when(F.col("role") == 2, F.col("i"))).alias("given")
+    ).where("family is not null and length(given) > 1")
+    met = written(rows.select("raw", "key").join(said, "raw").groupBy("key", "family", "given").agg(F.count(F.lit(1)).alias("n")))
+    counts = met.groupBy("given").agg(F.sum("n").alias("n"))
+    a, b = met.alias("a"), met.alias("b")
+    both = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.family") == F.col("b.family")) & (F.col("a.given") != F.col("b.given")))
+    both = written(both.select("a.family", F.col("a.given").alias("given"), F.col("b.given").alias("other")).distinct())
+    any_other = both.groupBy("given").agg(F.count_distinct("family").alias("families"))
+    pairs = both.groupBy("given", "other").agg(F.count(F.lit(1)).alias("together")).where(F.col("together") >= LEAST_FAMILIES)
+    pairs = pairs.join(any_other, "given").where(F.col("together") >= F.col("families") * LEAST_MET)
+    two = lambda c: F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - 1, F.lit(1))), lambda i: F.substring(F.col(c), i, F.lit(2)))
+    pairs = pairs.where((F.left("given", F.lit(1)) == F.left("other", F.lit(1))) | F.arrays_overlap(two("given"), two("other")))
+    pairs = pairs.join(counts, "given").join(counts.select(F.col("given").alias("other"), F.col("n").alias("m")), "other").where(F.struct("m", "other") > F.struct("n", "given"))
+    return pairs.groupBy(F.col("given").alias("head")).agg(F.max(F.struct("together", "m", "other")).alias("best")).select("head", F.col("best.other").alias("formal"))
+
+
+def _parse(tokens: list[tuple[str, int, str, int, int, int, str]]):
+    """(kind, family, rest, suffix) of a name's tokens with heads, role counts and formal forms; of
+    organisations the family is the first word. ``rest`` are tokens joined by blanks."""
     suffix = next((SUFFIXES[t] for t, role, *_ in tokens if role == 3), "")
     legal = any(role == 4 for _, role, *_ in tokens)
     plain = [x for x in tokens if x[1] not in (3, 4)]
@@ -106,108 +149,136 @@ def _parse(tokens: list[tuple[str, int, str, int, int, int]]):
     org = legal or (len(plain) > 1 and sum(x[5] for x in plain) > sum(x[3] + x[4] for x in plain))
     if org:
         words = [x[2] for x in plain]
-        return "o", words[0], " ".join(words[1:]), "", ""
-    if any(x[1] == 2 for x in plain):
-        family = [x[2] for x in plain if x[1] == 1]
-        rest = [x[2] for x in plain if x[1] == 2]
-        if not family:
-            family, rest = rest[-1:], rest[:-1]
-    else:
+        return "o", words[0], " ".join(words[1:]), ""
+    family = [x for x in plain if x[1] == 1]
+    rest = [x for x in plain if x[1] == 2]
+    if not rest:
+
         def familiar(i: int) -> tuple:
-            t, _, head, fam, giv, _ = plain[i]
-            return (len(t) > 1, head not in FORMAL and t not in FORMAL, fam >= giv, i == len(plain) - 1)
+            t, _, head, fam, giv, _, formal = plain[i]
+            return (len(t) > 1, formal == head and head not in FORMAL and t not in FORMAL, fam >= giv, i == len(plain) - 1)
 
         at = max(range(len(plain)), key=familiar)
-        family, rest = [plain[at][2]], [x[2] for i, x in enumerate(plain) if i != at]
-    given = FORMAL.get(rest[0], rest[0]) if rest else ""
-    middle = rest[1][0] if len(rest) > 1 else ""
-    return "p", " ".join(family), given, middle, suffix
+        family, rest = [plain[at]], plain[:at] + plain[at + 1 :]
+    elif not family:
+        family, rest = rest[-1:], rest[:-1]
+    return "p", " ".join(x[2] for x in family), " ".join(x[6] for x in rest), suffix
+
+
+#: Costs of the assignment: a short form, an abbreviation, an initial, a place left, a token without a partner.
+SHORT, ABBREVIATED, INITIAL, MOVED, ALONE = 0.1, 0.2, 0.3, 0.05, 0.5
+_NEVER = 1e6
 
 
 def token_cost(a: str, b: str) -> float | None:
     """Cost of aligning two given or organisation words; None if they can't be the same."""
     if a == b:
         return 0.0
-    if not a or not b:
-        return 0.5
     fa, fb = FORMAL.get(a, a), FORMAL.get(b, b)
     if fa == fb:
-        return 0.1
+        return SHORT
     short, long = (fa, fb) if len(fa) <= len(fb) else (fb, fa)
     if len(short) == 1:
-        return 0.3 if long[0] == short else None
-    return 0.2 if len(short) >= 3 and long.startswith(short) else None
+        return INITIAL if long[0] == short else None
+    # a whole name, or one that lacks the last letter, is no abbreviation (Daniel, Daniela)
+    return ABBREVIATED if 3 <= len(short) <= len(long) - 2 and short not in NICKNAMES and long.startswith(short) else None
+
+
+def optimal_assignment(costs: list[list[float]]) -> list[int]:
+    """Column of each row in the assignment of least total cost (rows at most columns), by shortest
+    augmenting paths with potentials; cubic in the size."""
+    n, m = len(costs), len(costs[0]) if costs else 0
+    u, v, row_of = [0.0] * (n + 1), [0.0] * (m + 1), [0] * (m + 1)
+    for i in range(1, n + 1):
+        row_of[0], j = i, 0
+        least, way, done = [float("inf")] * (m + 1), [0] * (m + 1), [False] * (m + 1)
+        while row_of[j]:
+            done[j] = True
+            r, step, nxt = row_of[j], float("inf"), 0
+            for k in range(1, m + 1):
+                if not done[k]:
+                    slack = costs[r - 1][k - 1] - u[r] - v[k]
+                    if slack < least[k]:
+                        least[k], way[k] = slack, j
+                    if least[k] < step:
+                        step, nxt = least[k], k
+            for k in range(m + 1):
+                if done[k]:
+                    u[row_of[k]] += step
+                    v[k] -= step
+                else:
+                    least[k] -= step
+            j = nxt
+        while j:
+            row_of[j] = row_of[way[j]]
+            j = way[j]
+    out = [0] * n
+    for k in range(1, m + 1):
+        if row_of[k]:
+            out[row_of[k] - 1] = k - 1
+    return out
 
 
-def alignment(a: list[str], b: list[str]) -> float | None:
-    """Least cost of assigning the tokens of the shorter list to those of the longer one."""
+def alignment(a: list[str], b: list[str], fixed_initials: bool = False) -> float | None:
+    """Least cost of assigning the tokens of the shorter list to those of the longer one, each to one
+    of its own; None if some token fits none. With ``fixed_initials`` (persons) an initial keeps its
+    place among the given names, and the first of both lists must have partners."""
     if len(a) > len(b):
         a, b = b, a
-    best = None
-    for chosen in permutations(range(len(b)), len(a)):
-        costs = [token_cost(x, b[i]) for x, i in zip(a, chosen)]
-        if None not in costs:
-            total = sum(costs) + 0.5 * (len(b) - len(a)) + 0.01 * sum(i != k for k, i in enumerate(chosen))
-            best = total if best is None else min(best, total)
-    return best
-
-
-def assignable(a: list[str], b: list[str]) -> bool:
-    """Whether every token of the shorter list can have a token of the longer one of its own
-    (bipartite matching by augmenting paths), for lists of any length."""
-    if len(a) > len(b):
-        a, b = b, a
-    fits = [[i for i, y in enumerate(b) if token_cost(x, y) is not None] for x in a]
-    taken: dict[int, int] = {}
-
-    def placed(k: int, tried: set[int]) -> bool:
-        for i in fits[k]:
-            if i not in tried:
-                tried.add(i)
-                if i not in taken or placed(taken[i], tried):
-                    taken[i] = k
-                    return True
-        return False
-
-    return all(placed(k, set()) for k in range(len(a)))
+    if not a:
+        return ALONE * len(b)
+
+    def cost(i: int, k: int) -> float:
+        c = token_cost(a[i], b[k])
+        moved = i != k
+        if c is None or (fixed_initials and moved and min(len(a[i]), len(b[k])) == 1):
+            return _NEVER
+        return c + MOVED * moved
+
+    costs = [[cost(i, k) for k in range(len(b))] for i in range(len(a))]
+    chosen = optimal_assignment(costs)
+    total = sum(costs[i][k] for i, k in enumerate(chosen))
+    if total >= _NEVER or (fixed_initials and 0 not in chosen):
+        return None
+    return total + ALONE * (len(b) - len(a))
 
 
-def _compatible(x: dict, y: dict) -> bool:
-    if x["kind"] == "o":
-        return assignable(x["given"].split(), y["given"].split())
-    for k in ("middle", "suffix"):
-        if x[k] and y[k] and x[k] != y[k]:
-            return False
-    return alignment([x["given"]], [y["given"]]) is not None
+def _fit(x: dict, y: dict) -> float | None:
+    """Cost of taking two names of one family or first word for one entity, None if they differ."""
+    if x["suffix"] and y["suffix"] and x["suffix"] != y["suffix"]:
+        return None
+    return alignment(x["rest"], y["rest"], fixed_initials=x["kind"] == "p")
 
 
 def _entities(key: tuple, rows: list[tuple]) -> list[tuple]:
     """Number the entities among the distinct parsed names of one key and family name."""
     kind = key[1]
-    rows = sorted(rows, key=lambda r: (-(4 * (len(r[0]) > 1) + 2 * (r[2] != "") + (r[1] != "")), -r[3], r[:3]))
+    split = [(rest.split(), rest, suffix, n) for rest, suffix, n in rows]
+    # fullest first: a spelled-out given name, a suffix, more tokens; then the commonest
+    split.sort(key=lambda r: (-(4 * (len(r[0][0]) > 1 if r[0] else 0) + 2 * (r[2] != "") + min(len(r[0]), 2) - 1), -r[3], r[1], r[2]))
     entities: list[dict] = []
     out = []
-    for given, middle, suffix, n in rows:
-        own = {"kind": kind, "given": given, "middle": middle, "suffix": suffix}
-        fits = [e for e in entities if _compatible(e, own)]
+    for tokens, rest, suffix, n in split:
+        own = {"kind": kind, "rest": tokens, "suffix": suffix}
+        fits = [e for e in entities if _fit(e, own) is not None]
         if fits:
             best = max(fits, key=lambda e: e["n"])
-            for k in ("given", "middle", "suffix"):
-                if len(best[k]) < len(own[k]):
-                    best[k] = own[k]
+            if (len(best["rest"]), sum(map(len, best["rest"]))) < (len(tokens), sum(map(len, tokens))):
+                best["rest"] = tokens
+            best["suffix"] = best["suffix"] or suffix
         else:
             best = own | {"n": 0, "id": len(entities)}
             entities.append(best)
         best["n"] += n
-        out.append((*key, given, middle, suffix, best["id"]))
+        out.append((*key, rest, suffix, best["id"]))
     return out
 
 
-_PARSED = ["kind", "family", "given", "middle", "suffix"]
+_PARSED = ["kind", "family", "rest", "suffix"]
 
 
 def parsed_names(rows: DataFrame) -> DataFrame:
-    """raw, kind, family, given, middle, suffix of each distinct name that names someone."""
+    """raw, kind, family, rest, suffix of each distinct name that names someone. ``rows``: raw, key."""
     raw = rows.groupBy("raw").agg(F.count(F.lit(1)).alias("n"))
 
     def cut(batches):
@@ -216,7 +287,7 @@ def parsed_names(rows: DataFrame) -> DataFrame:
             yield pd.DataFrame(got, columns=["raw", "n", "i", "token", "role"])
 
     tokens = written(spread(raw).mapInPandas(cut, "raw string, n bigint, i int, token string, role int"))
-    counts = tokens.where("role not in (3, 4)").groupBy("token").agg(F.sum("n").alias("n"))
+    counts = tokens.where("role not in (3, 4)").groupBy("token").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("role") == 2, F.col("n")).otherwise(0)).alias("giv"))
     heads = written(token_heads(counts))
     tokens = written(tokens.join(heads, "token", "left").withColumn("head", F.when(F.col("role") == 5, F.col("token")).otherwise(F.coalesce("head", "token"))))
     legal = tokens.where("role = 4").select("raw", F.lit(1).alias("legal")).distinct()
@@ -229,20 +300,21 @@ def parsed_names(rows: DataFrame) -> DataFrame:
         )
     )
     # a name has a handful of tokens, so what is gathered per name is small
-    whole = tokens.join(roles, "head").groupBy("raw").agg(
-        F.sort_array(F.collect_list(F.struct("i", "token", "role", "head", "fam", "giv", "org"))).alias("ts")
+    formal = F.coalesce("formal", "head").alias("formal")
+    whole = tokens.join(roles, "head").join(learned_forms(rows, tokens), "head", "left").groupBy("raw").agg(
+        F.sort_array(F.collect_list(F.struct("i", "token", "role", "head", "fam", "giv", "org", formal))).alias("ts")
     )
 
     def parse(batches):
         for batch in batches:
             got = []
             for r, ts in zip(batch["raw"], batch["ts"]):
-                p = _parse([(t["token"], t["role"], t["head"], t["fam"], t["giv"], t["org"]) for t in ts])
+                p = _parse([(t["token"], t["role"], t["head"], t["fam"], t["giv"], t["org"], t["formal"]) for t in ts])
                 if p is not None:
                     got.append((r, *p))
             yield pd.DataFrame(got, columns=["raw", *_PARSED])
 
-    return whole.mapInPandas(parse, "raw string, kind string, family string, given string, middle string, suffix string")
+    return whole.mapInPandas(parse, "raw string, kind string, family string, rest string, suffix string")
 
 
 def name_entities(rows: DataFrame) -> DataFrame:
@@ -255,8 +327,8 @@ def name_entities(rows: DataFrame) -> DataFrame:
     named = written(rows.join(parsed, "raw"))
     distinct = named.groupBy("key", *_PARSED).agg(F.count(F.lit(1)).alias("n"))
     told = map_runs(
-        distinct, ["key", "kind", "family"], ["given", "middle", "suffix", "n"], _entities,
-        "key string, kind string, family string, given string, middle string, suffix string, entity int",
+        distinct, ["key", "kind", "family"], ["rest", "suffix", "n"], _entities,
+        "key string, kind string, family string, rest string, suffix string, entity int",
     )
     return named.join(told, ["key", *_PARSED]).withColumn("entity_id", F.concat_ws("|", "key", "kind", "family", "entity"))
 
@@ -276,3 +348,10 @@ def same_names(summary_logs: DataFrame) -> DataFrame:
     """sl_id_a, sl_id_b: rows of one log or star that name the same one in unequal writing."""
     named = written(name_entities(name_rows(summary_logs)).select("sl_id", "raw", "entity_id"))
     return unequal_pairs(named, "entity_id", "raw", "sl_id", ("sl_id_a", "sl_id_b"))
+
+
+def name_classes(summary_logs: DataFrame) -> DataFrame:
+    """sl_id, key, class_id (smallest sl_id of the entity in that log or star), links: the rows it
+    is linked to under that key. One row per row and key; rows are not expanded into pairs."""
+    named = written(name_entities(name_rows(summary_logs)).select("sl_id", "key", "raw", "entity_id"))
+    return linked_classes(named, "entity_id", "raw", "sl_id", ["key"])

@@ -5,8 +5,8 @@ two streets of a crossing). Streets of one number are brought together by sorted
 passes in different component orders (by first letters, by last letters, by how often the
 spelling occurs), neighbours are compared by an edit score that takes a transposition as one
 edit, and numbers must agree strictly; units and floors are taken off first. Records of one
-number and street are then divided by their direction, type and postal code, a missing part
-going with the commonest place it fits.
+number and street, or of one pair of streets, are then divided by their directions, types, town
+and postal code, a missing part going with the commonest place it fits.
 
 Defined results: null and blank addresses, stand-ins and whole blocks denote no place; records
 written as the same string are no pair but share their place; repeated rows are rows of their
@@ -23,15 +23,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperloom.operators.form_keys import one_deletes
-from paperloom.operators.pairs import unequal_pairs
+from paperloom.operators.pairs import linked_classes, unequal_pairs
 from paperloom.operators.runs import map_runs
 from paperloom.session import written
 from paperloom.tables import spread
 
 #: Neighbours each entry is compared with in every pass and order; crowded sides add an exact join.
 WINDOW = 12
-#: A tail that stands behind this share of street types is a town (so at most 1 / TOWN_SHARE).
-TOWN_SHARE, LEAST_TAILS = 0.005, 3
+#: A tail that stands behind the types of LEAST_STREETS different streets is a town, or a slip of one that is
+#: one edit away and TOWN_RATIO times as frequent. Towns go to every worker: MOST_TOWNS at most, an error beyond.
+LEAST_STREETS, TOWN_RATIO, MOST_TOWNS = 5, 10, 200_000
 
 #: Directions and street types as people write them.
 DIRECTIONS = {"n": "n", "no": "n", "north": "n", "s": "s", "so": "s", "south": "s", "e": "e", "east": "e", "w": "w", "west": "w"}
@@ -48,7 +49,8 @@ _ORDINAL |= {w[:-1] + "ieth": 10 * (i + 2) for i, w in enumerate(TENS)}
 _UNIT = re.compile(r"\b(?:apt|apartment|unit|ste|suite|fl|floor|rm|room)\b\.?\s*#?\s*[a-z0-9]+\b|#\s*[a-z0-9]+\b")
 _BLOCK = re.compile(r"\b\d+x{1,3}\b|\bblock\b")
 _CROSS = re.compile(r"\s*(?:&|/|\band\b|\bat\b)\s*")
-_NUMBERISH = re.compile(r"^(?=.*\d)[\dolisb|]{3,6}$")
+#: House numbers: plain ones of any length, or of three characters and more with letters misread for digits.
+_NUMBERISH = re.compile(r"^(?:\d{1,6}|(?=.*\d)[\dolisb|]{3,6})$")
 _STAND_IN = re.compile(r"^(?:unk(?:nown)?|refused|same as (?:above|below)|none|n/?a|not given|homeless|[^a-z0-9]*)$")
 
 
@@ -91,8 +93,9 @@ def _tokens(text: str) -> list[str]:
     return [t.strip("-'") for t in re.findall(r"[a-z0-9|'-]+", text) if t.strip("-'")]
 
 
-def tail_of(raw: str | None) -> str | None:
-    """The words behind the street type at the end of an address, where a town stands."""
+def tail_of(raw: str | None) -> tuple[str, str] | None:
+    """(tail, street): the words behind the street type at the end of an address, where a town
+    stands, and those before it."""
     s = _UNIT.sub(" ", (raw or "").lower())
     tokens = _tokens(s)
     while tokens and re.fullmatch(r"\d{5}", tokens[-1]):
@@ -103,75 +106,101 @@ def tail_of(raw: str | None) -> str | None:
     tail = [t for t in tokens[at + 1 :]]
     while tail and tail[0] in DIRECTIONS:
         tail.pop(0)
-    return " ".join(tail) if 1 <= len(tail) <= 3 and not any(c.isdigit() for t in tail for c in t) else None
-
-
-def parse_place(raw: str | None, towns: list[str]):
-    """(kind, number, direction, name, type, town, zip, name2, type2) or None; kind b or x."""
+    if not 1 <= len(tail) <= 3 or any(c.isdigit() for t in tail for c in t) or {"and", "at"} & set(tail):
+        return None
+    return " ".join(tail), " ".join(t for t in tokens[:at] if t not in DIRECTIONS and not t[0].isdigit())
+
+
+def _without_town(s: str, towns: dict[str, str]) -> tuple[str, str]:
+    """(town, the rest with a comma in its place): the longest run of up to three words that is a town
+    and no street (no type behind it)."""
+    found = list(re.finditer(r"[a-z][a-z'-]*", s))
+    best = None
+    for i in range(len(found)):
+        for k in range(i, min(i + 3, len(found))):
+            if k > i and s[found[k - 1].end() : found[k].start()].strip():
+                break
+            name = " ".join(m[0] for m in found[i : k + 1])
+            if name in towns and not (k + 1 < len(found) and found[k + 1][0] in TYPES):
+                size = (found[k].end() - found[i].start(), found[i].start())
+                if best is None or size > best[0]:
+                    best = (size, towns[name], found[i].start(), found[k].end())
+    return (best[1], s[: best[2]] + " , " + s[best[3] :]) if best else ("", s)
+
+
+def parse_place(raw: str | None, towns: dict[str, str]):
+    """(kind, number, direction, name, type, town, zip, direction2, name2, type2) or None; kind b or
+    x. ``towns`` has the right spelling of each written town."""
     s = re.sub(r"\s+", " ", (raw or "").lower()).strip()
     if _STAND_IN.match(s) or _BLOCK.search(s):
         return None
-    s = _UNIT.sub(" ", s)
-    town = ""
-    for t in towns:
-        at = re.search(r"\b" + re.escape(t).replace(r"\ ", r"\s+") + r"\b", s)
-        if at:
-            town = t
-            s = s[: at.start()] + " , " + s[at.end() :]
-            break
+    town, s = _without_town(_UNIT.sub(" ", s), towns)
     tokens = _tokens(s)
     zip_code = ""
     numbers = [i for i, t in enumerate(tokens) if _NUMBERISH.match(t)]
-    if len(numbers) > 1 and numbers[-1] == len(tokens) - 1 and re.fullmatch(r"\d{5}", tokens[-1]):
-        zip_code = tokens.pop()
-        numbers.pop()
+    # one or two digits before a type, or behind other numbers, are a street's
+    long = [i for i in numbers if len(tokens[i]) > 2] or [i for i in numbers if not (i + 1 < len(tokens) and tokens[i + 1] in TYPES)] or numbers
+    if numbers and numbers[-1] == len(tokens) - 1 and re.fullmatch(r"\d{5}", tokens[-1]):
+        named = any(t not in DIRECTIONS and t not in TYPES and not t[0].isdigit() for t in tokens)
+        before = [i for i in numbers[:-1] if len(tokens[i]) > 2 or (named and tokens[i + 1] not in TYPES and not (i > 0 and tokens[i - 1] in DIRECTIONS))]
+        if before:
+            zip_code = tokens.pop()
+            numbers.pop()
+            long = [i for i in long if i < len(tokens)] or before
     cross = _CROSS.split(re.sub(r"^\s*(?:the\s+)?(?:corner of|corner|intersection of|intersection|int of)\s+", "", s))
-    if len(cross) == 2 and not (numbers and numbers[0] == 0):
+    if len(cross) == 2 and not (long and long[0] == 0 and len(tokens[0]) > 2):
         sides = []
         for part in cross:
-            part_tokens = [t for t in _tokens(part) if not re.fullmatch(r"\d{5}", t)]
-            _, name, kind = _street(part_tokens)
+            direction, name, kind = _street([t for t in _tokens(part) if not re.fullmatch(r"\d{5}", t)])
             if not name:
                 return None
-            sides.append((name, kind))
-        sides.sort()
-        return "x", "", "", sides[0][0], sides[0][1], town, zip_code, sides[1][0], sides[1][1]
+            sides.append((name, direction, kind))
+        (name, direction, kind), (name2, direction2, kind2) = sorted(sides)
+        return "x", "", direction, name, kind, town, zip_code, direction2, name2, kind2
     if not numbers:
         return None
-    number = _number(tokens[numbers[0]])
-    direction, name, kind = _street(tokens[: numbers[0]] + tokens[numbers[0] + 1 :])
+    at = long[0]
+    direction, name, kind = _street(tokens[:at] + tokens[at + 1 :])
     if not name:
         return None
-    return "b", number, direction, name, kind, town, zip_code, "", ""
+    return "b", _number(tokens[at]), direction, name, kind, town, zip_code, "", "", ""
 
 
-_PARTS = "kind string, num string, dir string, name string, type string, town string, zip string, name2 string, type2 string"
+_PARTS = "kind string, num string, dir string, name string, type string, town string, zip string, dir2 string, name2 string, type2 string"
 
 
 def place_parts(addresses: DataFrame) -> DataFrame:
-    """raw and its components, for each distinct address that denotes a place.
-
-    The towns are learned from the tails of all addresses; at most 1 / TOWN_SHARE can pass.
-    """
+    """raw and its components, for each distinct address that denotes a place."""
     raw = addresses.select("raw").where(F.col("raw").isNotNull()).distinct()
-
-    def tails(batches):
-        for batch in batches:
-            yield pd.DataFrame({"tail": [tail_of(r) for r in batch["raw"]]})
-
-    seen = raw.mapInPandas(tails, "tail string").where("tail is not null").groupBy("tail").agg(F.count(F.lit(1)).alias("n"))
-    total = seen.agg(F.sum("n").alias("all"))
-    often = seen.crossJoin(F.broadcast(total)).where((F.col("n") >= LEAST_TAILS) & (F.col("n") >= F.col("all") * TOWN_SHARE))
-    towns = sorted((r["tail"] for r in often.select("tail").limit(int(1 / TOWN_SHARE)).collect()), key=lambda t: (-len(t), t))
+    towns = written_towns(raw)
 
     def cut(batches):
         for batch in batches:
             got = [(r, *p) for r in batch["raw"] if (p := parse_place(r, towns)) is not None]
-            yield pd.DataFrame(got, columns=["raw", "kind", "num", "dir", "name", "type", "town", "zip", "name2", "type2"])
+            yield pd.DataFrame(got, columns=["raw", "kind", "num", "dir", "name", "type", "town", "zip", "dir2", "name2", "type2"])
 
     return spread(raw).mapInPandas(cut, "raw string, " + _PARTS)
 
 
+def written_towns(raw: DataFrame) -> dict[str, str]:
+    """Each written town with its right spelling, learned from the tails of all addresses."""
+
+    def tails(batches):
+        for batch in batches:
+            yield pd.DataFrame([t for r in batch["raw"] if (t := tail_of(r))], columns=["tail", "street"])
+
+    seen = raw.mapInPandas(tails, "tail string, street string").groupBy("tail").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("street").alias("streets"))
+    seen = written(seen.select("tail", "n", "streets", F.explode(one_deletes(F.col("tail"))).alias("part")))
+    towns = seen.where(F.col("streets") >= LEAST_STREETS).select(F.col("tail").alias("town"), F.col("n").alias("m"), "part")
+    slips = seen.join(towns, "part").where((F.col("m") >= F.col("n") * TOWN_RATIO) & (F.length("town") >= 5) & one_edit(F.col("tail"), F.col("town")))
+    slips = slips.groupBy("tail").agg(F.max(F.struct("m", "town")).alias("to")).select("tail", F.col("to.town").alias("town"))
+    rows = towns.select(F.col("town").alias("tail"), "town").distinct().join(slips.select("tail"), "tail", "left_anti").unionByName(slips).limit(MOST_TOWNS + 1).collect()
+    if len(rows) > MOST_TOWNS:
+        raise ValueError(f"more than {MOST_TOWNS} towns")
+    to = {r["tail"]: r["town"] for r in rows}
+    return {t: to.get(town, town) for t, town in to.items()}
+
+
 def one_edit(a: Column, b: Column) -> Column:
     """At most one insertion, deletion, substitution or swap of neighbours apart."""
     swap = F.exists(
@@ -221,55 +250,73 @@ def spelling_heads(names: DataFrame, block: list[str], word: str = "name", count
     return heads.select(*block, word, "head")
 
 
-def _divide(key: tuple, rows: list[tuple]) -> list[tuple]:
-    """Give the component combinations of one number and street their place (a counter)."""
-    parts = ("dir", "type", "town", "zip")
-    rows = sorted(rows, key=lambda r: (-(2 * (r[0] != "") + 2 * (r[1] != "") + (r[3] != "")), -r[4], r[:4]))
-    places: list[dict] = []
-    out = []
-    for r in rows:
-        own = dict(zip(parts, r))
-        fits = [p for p in places if all(not v or not p[k] or p[k] == v for k, v in own.items())]
-        if fits:
-            best = max(fits, key=lambda p: p["n"])
-            for k, v in own.items():
-                best[k] = best[k] or v
-        else:
-            best = {**own, "n": 0, "id": len(places)}
-            places.append(best)
-        best["n"] += r[4]
-        out.append((*key, *r[:4], best["id"]))
-    return out
+def _divided(parts: list[str]):
+    """A rule that gives the combinations of ``parts`` of one key their place (a counter): fullest
+    first, each to the commonest place that has no other value in any part."""
+
+    def rule(key: tuple, rows: list[tuple]) -> list[tuple]:
+        rows = sorted(rows, key=lambda r: (-sum((1 if p in ("town", "zip") else 2) * (v != "") for p, v in zip(parts, r) if p != "town"), -r[-1], r[:-1]))
+        places: list[dict] = []
+        out = []
+        for r in rows:
+            own = dict(zip(parts, r))
+            fits = [p for p in places if all(not v or not p[k] or p[k] == v for k, v in own.items())]
+            if fits:
+                best = max(fits, key=lambda p: p["n"])
+                for k, v in own.items():
+                    best[k] = best[k] or v
+            else:
+                best = {**own, "n": 0, "id": len(places)}
+                places.append(best)
+            best["n"] += r[-1]
+            out.append((*key, *r[:-1], best["id"]))
+        return out
+
+    return rule
+
+
+def _placed(rows: DataFrame, key: list[str], parts: list[str], mark: str) -> DataFrame:
+    """raw, place_id of ``rows`` with key and parts. Combinations of parts are few, however many rows."""
+    combos = rows.groupBy(*key, *parts).agg(F.sum("n").alias("n"))
+    fields = ", ".join(f"{c} string" for c in [*key, *parts])
+    told = map_runs(combos, key, [*parts, "n"], _divided(parts), f"{fields}, place int")
+    return rows.join(told, [*key, *parts]).select("raw", F.concat_ws("|", F.lit(mark), *key, "place").alias("place_id"))
 
 
 def address_places(rows: DataFrame) -> DataFrame:
     """``rows`` (with ``raw``) that denote a place, with place_id; equal ids are one place."""
-    parts = place_parts(rows)
     counts = rows.groupBy("raw").agg(F.count(F.lit(1)).alias("n"))
-    parts = written(parts.join(counts, "raw"))
-    houses = parts.where("kind = 'b'")
-    names = houses.groupBy("num", "name").agg(F.sum("n").alias("n"))
-    houses = written(houses.join(spelling_heads(names, ["num"]), ["num", "name"]))
-    # at most directions x types x towns x codes combinations a group, however many rows
-    combos = houses.groupBy("num", "head", "dir", "type", "town", "zip").agg(F.sum("n").alias("n"))
-    placed = map_runs(combos, ["num", "head"], ["dir", "type", "town", "zip", "n"], _divide, "num string, head string, dir string, type string, town string, zip string, place int")
-    houses = houses.join(placed, ["num", "head", "dir", "type", "town", "zip"]).select(
-        "raw", F.concat_ws("|", F.lit("b"), "num", "head", "place").alias("place_id")
-    )
+    parts = written(place_parts(rows).join(counts, "raw"))
+    # spellings of all streets first, so that slips of a street meet over its right spelling though that
+    # stands at other numbers only; then those of one number
+    streets = parts.select(F.explode(F.array("name", "name2")).alias("name"), "n").where("name <> ''").groupBy("name").agg(F.sum("n").alias("n")).withColumn("all", F.lit(0))
+    head = written(spelling_heads(streets, ["all"]).select("name", "head"))
+    houses = written(parts.where("kind = 'b'").join(head.withColumnRenamed("head", "street"), "name").drop("name"))
+    names = houses.groupBy("num", F.col("street").alias("name")).agg(F.sum("n").alias("n"))
+    houses = houses.withColumnRenamed("street", "name").join(written(spelling_heads(names, ["num"])), ["num", "name"])
+    houses = _placed(houses, ["num", "head"], ["dir", "type", "town", "zip"], "b")
     crossings = parts.where("kind = 'x'")
-    sides = crossings.select(F.explode(F.array("name", "name2")).alias("name"), "n").groupBy("name").agg(F.sum("n").alias("n")).withColumn("all", F.lit(0))
-    head = spelling_heads(sides, ["all"]).select("name", "head")
-    crossings = (
-        crossings.join(head.withColumnRenamed("head", "h1"), "name")
-        .join(head.select(F.col("name").alias("name2"), F.col("head").alias("h2")), "name2")
-        .select("raw", F.concat_ws("|", F.lit("x"), F.least("h1", "h2"), F.greatest("h1", "h2")).alias("place_id"))
-    )
+    side = lambda h, k: F.struct(F.col(h).alias("h"), F.col(f"dir{k}").alias("d"), F.col(f"type{k}").alias("t"))
+    crossings = crossings.join(head.withColumnRenamed("head", "h1"), "name").join(head.select(F.col("name").alias("name2"), F.col("head").alias("h2")), "name2")
+    crossings = crossings.select("raw", "n", "town", "zip", F.least(side("h1", ""), side("h2", "2")).alias("a"), F.greatest(side("h1", ""), side("h2", "2")).alias("b"))
+    crossings = crossings.select("raw", "n", "town", "zip", *[F.col(f"{x}.{y}").alias(f"{x}_{z}") for x in "ab" for y, z in (("h", "head"), ("d", "dir"), ("t", "type"))])
+    crossings = _placed(crossings, ["a_head", "b_head"], ["a_dir", "a_type", "b_dir", "b_type", "town", "zip"], "x")
     return rows.join(houses.unionByName(crossings), "raw")
 
 
-def same_places(summary_logs: DataFrame) -> DataFrame:
-    """sl_id_a, sl_id_b: rows of summary_logs that denote one place, written unequally."""
+def place_rows(summary_logs: DataFrame) -> DataFrame:
+    """sl_id, raw, place_id of the rows of summary_logs that denote a place."""
     blank = lambda c: F.when(F.trim(F.regexp_replace(c, r"\s+", " ")) != "", F.col(c))
     rows = summary_logs.select("sl_id", F.coalesce(blank("address_of_incident"), blank("address")).alias("raw")).where("raw is not null")
-    placed = written(address_places(rows).select("sl_id", "raw", "place_id"))
-    return unequal_pairs(placed, "place_id", "raw", "sl_id", ("sl_id_a", "sl_id_b"))
+    return written(address_places(rows).select("sl_id", "raw", "place_id"))
+
+
+def same_places(summary_logs: DataFrame) -> DataFrame:
+    """sl_id_a, sl_id_b: rows of summary_logs that denote one place, written unequally."""
+    return unequal_pairs(place_rows(summary_logs), "place_id", "raw", "sl_id", ("sl_id_a", "sl_id_b"))
+
+
+def place_classes(summary_logs: DataFrame) -> DataFrame:
+    """sl_id, class_id (smallest sl_id of the place), links: the rows it is linked to. One row per
+    row that denotes a place; rows are not expanded into pairs."""
+    return linked_classes(place_rows(summary_logs), "place_id", "raw", "sl_id")

@@ -28,7 +28,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p5_found": _tables("report_extract")(personal_data.personal_stretches),
         "p5_masked": _tables("report_extract")(personal_data.masked_texts),
         "p6_found": _tables("summary_logs")(name_variants.same_names),
+        "p6_classes": _tables("summary_logs")(name_variants.name_classes),
         "p7_found": _tables("summary_logs")(places.same_places),
+        "p7_classes": _tables("summary_logs")(places.place_classes),
         "p8_ids": _tables("documents")(tokenize.token_ids),
         "p9_found": _tables("documents", "eval_items")(leakage.leaks_found),
         "p9_changed": _tables("documents", "eval_items")(leakage.leaked_windows),
