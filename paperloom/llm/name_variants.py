@@ -33,9 +33,9 @@ from paperloom.tables import spread
 #: Shortest token that may be misspelt.
 LEAST_LETTERS = 4
 
-#: A spelling with OWN_ROWS rows, or a given name that differs in its last vowel, stays on its own
-#: beside one that is less than OWN_RATIO times as frequent.
-OWN_ROWS, OWN_RATIO = 5, 20
+#: A spelling with OWN_ROWS rows stays on its own beside one that is less than OWN_RATIO times as frequent,
+#: a given name that differs in its last vowel beside one less than VOWEL_RATIO times as frequent.
+OWN_ROWS, OWN_RATIO, VOWEL_RATIO = 5, 4, 20
 #: Families in which two given names must meet to be learned as one, and the share of the rarer one's meetings.
 LEAST_FAMILIES, LEAST_MET = 3, 0.5
 
@@ -98,7 +98,7 @@ def token_heads(tokens: DataFrame) -> DataFrame:
     a, b = index.alias("a"), index.alias("b")
     stem = lambda c: F.regexp_replace(c, "[aeiouy]$", "")
     other = (stem("a.token") == stem("b.token")) & (2 * F.col("b.giv") > F.col("b.n"))
-    alone = (OWN_RATIO * F.col("a.n") > F.col("b.n")) & ((F.col("a.n") >= OWN_ROWS) | other)
+    alone = ((OWN_RATIO * F.col("a.n") > F.col("b.n")) & (F.col("a.n") >= OWN_ROWS)) | ((VOWEL_RATIO * F.col("a.n") > F.col("b.n")) & other)
     near = (
         a.join(b, (F.col("a.part") == F.col("b.part")) & (F.struct("b.n", "b.token") > F.struct("a.n", "a.token")))
         .where(~F.col("a.token").isin(*FORMAL) & ~alone & one_edit(F.col("a.token"), F.col("b.token")))
@@ -180,8 +180,9 @@ def token_cost(a: str, b: str) -> float | None:
     short, long = (fa, fb) if len(fa) <= len(fb) else (fb, fa)
     if len(short) == 1:
         return INITIAL if long[0] == short else None
-    # a whole name, or one that lacks the last letter, is no abbreviation (Daniel, Daniela)
-    return ABBREVIATED if 3 <= len(short) <= len(long) - 2 and short not in NICKNAMES and long.startswith(short) else None
+    # a whole name, or one that lacks a last vowel, is no abbreviation (Daniel, Daniela)
+    another = short in NICKNAMES or (len(short) == len(long) - 1 and long[-1] in "aeiouy")
+    return ABBREVIATED if len(short) >= 3 and long.startswith(short) and not another else None
 
 
 def optimal_assignment(costs: list[list[float]]) -> list[int]:

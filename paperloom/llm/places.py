@@ -121,7 +121,8 @@ def _without_town(s: str, towns: dict[str, str]) -> tuple[str, str]:
             if k > i and s[found[k - 1].end() : found[k].start()].strip():
                 break
             name = " ".join(m[0] for m in found[i : k + 1])
-            if name in towns and not (k + 1 < len(found) and found[k + 1][0] in TYPES):
+            typed = k + 1 < len(found) and found[k + 1][0] in TYPES and not s[found[k].end() : found[k + 1].start()].strip()
+            if name in towns and not typed:
                 size = (found[k].end() - found[i].start(), found[i].start())
                 if best is None or size > best[0]:
                     best = (size, towns[name], found[i].start(), found[k].end())
@@ -287,13 +288,13 @@ def address_places(rows: DataFrame) -> DataFrame:
     """``rows`` (with ``raw``) that denote a place, with place_id; equal ids are one place."""
     counts = rows.groupBy("raw").agg(F.count(F.lit(1)).alias("n"))
     parts = written(place_parts(rows).join(counts, "raw"))
-    # spellings of all streets first, so that slips of a street meet over its right spelling though that
-    # stands at other numbers only; then those of one number
     streets = parts.select(F.explode(F.array("name", "name2")).alias("name"), "n").where("name <> ''").groupBy("name").agg(F.sum("n").alias("n")).withColumn("all", F.lit(0))
     head = written(spelling_heads(streets, ["all"]).select("name", "head"))
-    houses = written(parts.where("kind = 'b'").join(head.withColumnRenamed("head", "street"), "name").drop("name"))
-    names = houses.groupBy("num", F.col("street").alias("name")).agg(F.sum("n").alias("n"))
-    houses = houses.withColumnRenamed("street", "name").join(written(spelling_heads(names, ["num"])), ["num", "name"])
+    houses = parts.where("kind = 'b'")
+    names = houses.groupBy("num", "name").agg(F.sum("n").alias("n"))
+    # spellings of one number first; then slips that meet over a right spelling at other numbers
+    local = spelling_heads(names, ["num"]).withColumnRenamed("head", "near").join(head.withColumnRenamed("name", "near"), "near").drop("near")
+    houses = written(houses.join(local, ["num", "name"]))
     houses = _placed(houses, ["num", "head"], ["dir", "type", "town", "zip"], "b")
     crossings = parts.where("kind = 'x'")
     side = lambda h, k: F.struct(F.col(h).alias("h"), F.col(f"dir{k}").alias("d"), F.col(f"type{k}").alias("t"))
