@@ -1,8 +1,12 @@
 """Noise in text from scanned pages: broken words, misread glyphs, running headers.
 
 Words are grouped by a confusable-glyph skeleton and rare forms give way to the frequent form
-of their group that stands in like surroundings, lines are masked by digit to find running headers and page numbers, and the
-rest is reflowed with windows over the lines.
+of their group; where several frequent forms fit, the one that stands beside the same words in
+other texts is taken. Lines are masked by digit to find running headers and page numbers, and
+the rest is reflowed.
+
+Equal texts are worked on once. Lines, running text and words of a text stay together in arrays
+of its row; what is shuffled are counts of words and line templates, and the few findings.
 
 Defined results: a null or blank text has no lines, no findings and a null repaired text; a
 repeated row counts once; of equally frequent right forms the one nearest in edits, then first
@@ -26,13 +30,17 @@ GLYPHS = ("01|i€@+ƒ569c", "ollleatfsbge")
 #: A line template is furniture only if it stands in LEAST_TEXTS texts, however many there are; words that tell it from prose.
 LEAST_TEXTS, STEM = 4, 3
 #: A letters-only form yields to one this many times as frequent; a form with odd glyphs to any
-#: form that stands in LEAST_RIGHT texts.
-RATIO, LEAST_RIGHT = 10, 2
+#: form that stands in LEAST_RIGHT texts. Of several that fit, one goes first that stands beside the same words in
+#: LEAST_BESIDE texts and RATIO times as many as the next.
+RATIO, LEAST_RIGHT, LEAST_BESIDE = 10, 2, 3
 
+_EDGES = " \t\r\n\x0b\x0c.,;:!?()[]{}\"'“”‘’*_/<>~#-"
 _EDGE = r"[\s.,;:!?()\[\]{}\"'“”‘’*_/<>~#-]+"
 _WORD = r"^[a-z]+(?:['-][a-z]+)*$"
-_BREAK = r"[\p{L}\p{N}€@+|ƒ][-­¬]$"
-_MARK = "\u0001"
+_BREAK = r"([\p{L}\p{N}€@+|ƒ])[-­¬][\n\x02]+(?=[\p{L}€@+|ƒ])"
+#: Between the halves of a broken word, and between paragraphs.
+_MARK, _PARAGRAPH = "\u0001", "\u0002"
+_BARE_NUMBER = r"^[^\p{L}\p{N}.]{0,4}\d{1,9}[^\p{L}\p{N}.]{0,4}$"
 KEYS = ["src", "rec_id"]
 
 
@@ -45,13 +53,13 @@ def skeleton(word: Column) -> Column:
 
 def bare_word(token: Column) -> Column:
     """Lower case, without punctuation around; a glyph such as | or @ stays."""
-    return F.regexp_replace(F.lower(token), f"^{_EDGE}|{_EDGE}$", "")
+    return F.btrim(F.lower(token), F.lit(_EDGES))
 
 
 def scanned_texts(report_extract: DataFrame, cells: DataFrame) -> DataFrame:
     """src, rec_id, text of every narrative and of every cell row in a prose column.
 
-    A heading counts by its column name alone, exact or one letter off. Repeated rows come once.
+    A heading counts by its column name alone, exact or one letter off.
     """
     right = F.array(*[heading_key(F.lit(c)) for c in PROSE_COLUMNS])
     near = F.exists(right, lambda r: F.levenshtein(r, F.col("ckey"), 1) >= 0)
@@ -60,28 +68,22 @@ def scanned_texts(report_extract: DataFrame, cells: DataFrame) -> DataFrame:
         report_extract.select(F.lit("report_extract").alias("src"), F.col("docid").cast("string").alias("rec_id"), F.col("narrative").alias("text"))
         .unionByName(prose.select(F.lit("cr_summary_data_temp").alias("src"), F.col("row_id").cast("string").alias("rec_id"), "text"))
         .where(F.col("text").isNotNull())
-        .distinct()
+        .withColumn("copy", F.unhex(F.md5("text")))
     )
 
 
-def text_lines(texts: DataFrame) -> DataFrame:
-    """src, rec_id, copy, ln, line, many: trimmed lines with runs of blanks as one.
-
-    ``copy`` tells apart unequal texts that share an id.
-    """
+def distinct_texts(rows: DataFrame) -> DataFrame:
+    """copy, lines: each different text once, as its trimmed lines with runs of blanks as one."""
     t = F.regexp_replace("text", r"\r\n?", "\n")
-    return (
-        texts.select(*KEYS, F.xxhash64("text").alias("copy"), F.split(t, "\n").alias("lines"))
-        .select(*KEYS, "copy", (F.size("lines") > 1).alias("many"), F.posexplode("lines").alias("ln", "raw"))
-        .select(*KEYS, "copy", "ln", "many", F.trim(F.regexp_replace("raw", r"[\s ]+", " ")).alias("line"))
-    )
+    lines = F.transform(F.split(t, "\n"), lambda x: F.btrim(F.regexp_replace(x, r"[\s\u00a0]+", " ")))
+    return rows.select("copy", "text").dropDuplicates(["copy"]).select("copy", lines.alias("lines"))
 
 
 def line_mask(line: Column) -> Column:
     return F.regexp_replace(line, "[0-9]+", "#")
 
 
-def furniture_templates(lines: DataFrame) -> DataFrame:
+def furniture_templates(texts: DataFrame) -> DataFrame:
     """mask of each line template that recurs across the laid-out texts and cuts into sentences.
 
     Nothing here depends on how many other texts there are. A template is furniture if it
@@ -92,17 +94,19 @@ def furniture_templates(lines: DataFrame) -> DataFrame:
     that ends no sentence, and if its first STEM words, where they occur within the lines, mostly
     begin one: prose wraps anywhere. Templates without a letter need no such stem.
     """
-    w = Window.partitionBy(*KEYS, "copy").orderBy("ln")
-    filled = lines.where(F.col("many") & (F.col("line") != "")).withColumn("mask", line_mask(F.col("line")))
+    filled = texts.where(F.size("lines") > 1).select("copy", F.filter("lines", lambda x: x != "").alias("ls"))
+    hashed = lambda c: F.when(c.isNotNull(), F.xxhash64(c))
+    # each line with those around it; arrays are cut once a text and only what is asked for leaves it
+    around = F.transform("ls", lambda x, i: F.struct(line_mask(x).alias("mask"), F.get("ls", i - 1).alias("before"), F.get("ls", i + 1).alias("after")))
     laid = (
-        filled.withColumns({"before": F.lag("line").over(w), "after": F.lead("line").over(w)})
-        .withColumn("open", (~F.col("before").rlike(r"[.?!]['\"”)]?$")).cast("int"))
-        .withColumn("goes_on", F.col("after").rlike(r"^\p{Ll}").cast("int"))
-        .select("copy", "mask", "open", "goes_on", *[F.when(F.col(c).isNotNull(), F.xxhash64(c)).alias(c) for c in ("before", "after")])
-        .where(~F.col("mask").rlike(r"^\p{Ll}|[.?!]$"))
+        filled.select("copy", F.explode(F.filter(around, lambda x: ~x["mask"].rlike(r"^\p{Ll}|[.?!]$"))).alias("x"))
+        .select(
+            "copy", "x.mask", (~F.col("x.before").rlike(r"[.?!]['\"”)]?$")).cast("int").alias("open"), F.col("x.after").rlike(r"^\p{Ll}").cast("int").alias("goes_on"),
+            hashed(F.col("x.before")).alias("before"), hashed(F.col("x.after")).alias("after"),
+        )
     )
-    texts = laid.groupBy("mask", "copy").agg(F.avg("open").alias("open")).groupBy("mask").agg(F.count(F.lit(1)).alias("n"), F.avg("open").alias("open"))
-    often = texts.where((F.col("n") >= LEAST_TEXTS) & (F.coalesce("open", F.lit(1.0)) >= 0.5)).select("mask")
+    seen = laid.groupBy("mask", "copy").agg(F.avg("open").alias("open")).groupBy("mask").agg(F.count(F.lit(1)).alias("n"), F.avg("open").alias("open"))
+    often = seen.where((F.col("n") >= LEAST_TEXTS) & (F.coalesce("open", F.lit(1.0)) >= 0.5)).select("mask")
     varied = laid.join(often, "mask").groupBy("mask").agg(F.count_distinct("before").alias("b"), F.count_distinct("after").alias("a"), F.avg("goes_on").alias("goes_on"))
     between = F.least("b", "a") >= LEAST_TEXTS
     varied = varied.where(between | ((F.col("b") >= LEAST_TEXTS) & (F.col("a") == 0)) | ((F.col("a") >= LEAST_TEXTS) & (F.col("goes_on") < 0.5)))
@@ -110,76 +114,80 @@ def furniture_templates(lines: DataFrame) -> DataFrame:
     words = F.split("mask", " ")
     # the stem of a template of fewer words is the whole of it
     asked = varied.where(F.col("mask").rlike(r"\p{L}")).select("mask", F.least(F.size(words), F.lit(STEM)).alias("size"), stem(words, 1).alias("stem"))
-    starts = filled.select(F.split("mask", " ").alias("words")).select("words", F.posexplode("words").alias("at", "word")).where(~F.col("word").rlike(r"^\p{Ll}"))
-    grams = starts.select((F.col("at") == 0).cast("int").alias("begins"), F.posexplode(F.array(*[
-        F.when(F.size("words") - F.col("at") >= k, F.xxhash64(F.array_join(F.slice("words", F.col("at") + 1, k), " "))) for k in range(1, STEM + 1)
-    ])).alias("k", "stem")).where("stem is not null").select("begins", (F.col("k") + 1).alias("size"), "stem")
+    def stems(line: Column) -> Column:
+        ws = F.split(line_mask(line), " ")
+        at = F.filter(F.transform(ws, lambda w, i: F.when(~w.rlike(r"^\p{Ll}"), i)), lambda i: i.isNotNull())
+        return F.flatten(F.transform(at, lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(STEM), F.size(ws) - i)), lambda k: F.struct(
+            (i == 0).cast("int").alias("begins"), k.alias("size"), F.xxhash64(F.array_join(F.slice(ws, i + 1, k), " ")).alias("stem")
+        ))))
+
+    grams = filled.select(F.explode(F.flatten(F.transform("ls", stems))).alias("x")).select("x.*")
     begun = grams.join(asked.select("size", "stem").distinct(), ["size", "stem"]).groupBy("size", "stem").agg(F.avg("begins").alias("share"))
     alone = asked.join(begun.where(F.col("share") >= 0.5), ["size", "stem"]).select("mask")
     return alone.unionByName(varied.where(~F.col("mask").rlike(r"\p{L}")).select("mask")).withColumn("known", F.lit(True))
 
 
-def marked_lines(lines: DataFrame) -> DataFrame:
-    """``lines`` with ``furniture``: a known template, or a page number standing alone."""
-    bare_number = F.col("many") & F.col("line").rlike(r"^[^\p{L}\p{N}.]{0,4}\d{1,4}[^\p{L}\p{N}.]{0,4}$")
-    return (
-        lines.withColumn("mask", line_mask(F.col("line")))
-        .join(furniture_templates(lines), "mask", "left")
-        .withColumn("furniture", (F.col("many") & F.col("known").isNotNull()) | bare_number)
-        .drop("mask", "known")
+def marked_texts(texts: DataFrame) -> DataFrame:
+    """``texts`` with ``marks``: the places of their furniture lines (known templates; page numbers
+    standing alone), null without."""
+    masks = texts.where(F.size("lines") > 1).select("copy", F.explode(F.filter(
+        F.transform("lines", lambda x, i: F.struct(i.alias("i"), line_mask(x).alias("mask"), x.rlike(_BARE_NUMBER).alias("bare"))), lambda x: x["mask"] != ""
+    )).alias("x")).select("copy", "x.*")
+    known = masks.join(furniture_templates(texts), "mask", "left").where(F.col("bare") | F.col("known").isNotNull())
+    return texts.join(known.groupBy("copy").agg(F.collect_set("i").alias("marks")), "copy", "left")
+
+
+def running_text(lines: Column, marks: Column) -> Column:
+    """The lines without furniture as one text: the halves of a word broken over a line end are parted by
+    U+0001 (a hyphen that ends a dash joins nothing), paragraphs by U+0002, lines by line ends."""
+    kept = F.filter(lines, lambda x, i: marks.isNull() | ~F.array_contains(marks, i))
+    text = F.regexp_replace(F.array_join(kept, "\n"), "\n\n+", _PARAGRAPH)
+    return F.regexp_replace(text, _BREAK, f"$1{_MARK}")
+
+
+def written_forms(texts: DataFrame) -> DataFrame:
+    """copy, lines, marks, words (the tokens of the running text in order), wholes and splits: the
+    different tokens with their bare forms. Of a broken word: ``alt`` has a hyphen between the halves,
+    ``half`` is the second. ``cap``: it begins with a capital, as names and sentences do."""
+    words = F.filter(F.split(running_text(F.col("lines"), F.col("marks")), r"[ \n\x02]"), lambda w: w != "")
+    rows = texts.select("copy", "lines", "marks", words.alias("words")).withColumn("tokens", F.array_distinct("words"))
+    first = lambda t: F.left(F.btrim(t, F.lit(_EDGES)), F.lit(1))
+    cap = lambda t: first(t) != F.lower(first(t))
+    joined = lambda t, by: bare_word(F.replace(t, F.lit(_MARK), F.lit(by)))
+    whole = F.filter("tokens", lambda t: ~t.contains(_MARK))
+    broken = F.filter("tokens", lambda t: t.contains(_MARK))
+    return rows.select(
+        "copy", "lines", "marks", "words",
+        F.transform(whole, lambda t: F.struct(t.alias("token"), bare_word(t).alias("form"), cap(t).alias("cap"))).alias("wholes"),
+        F.transform(broken, lambda t: F.struct(
+            t.alias("token"), joined(t, "").alias("form"), cap(t).alias("cap"), joined(t, "-").alias("alt"), bare_word(F.element_at(F.split(t, _MARK), -1)).alias("half")
+        )).alias("splits"),
     )
 
 
-def reflowed_tokens(marked: DataFrame) -> DataFrame:
-    """src, rec_id, copy, ln, pos, token of the running text; a word broken over a line end is
-    one token, its halves parted by U+0001."""
-    kept = marked.where(~F.col("furniture") & (F.col("line") != ""))
-    w = Window.partitionBy(*KEYS, "copy").orderBy("ln")
-    follows = F.coalesce(F.lead("line").over(w).rlike(r"^[\p{L}\p{N}€@+|ƒ]"), F.lit(False))
-    rows = kept.withColumns({
-        "breaks": F.col("line").rlike(_BREAK) & ~F.col("line").rlike(r"--$") & follows,
-        "next": F.split(F.lead("line").over(w), " ")[0],
-    })
-    rows = rows.withColumn("joined", F.coalesce(F.lag("breaks").over(w), F.lit(False)))
-    words = F.split("line", " ")
-    words = F.when(F.col("joined"), F.slice(words, 2, F.greatest(F.size(words), F.lit(1)))).otherwise(words)
-    rows = rows.withColumn("words", words).withColumn("last", F.size("words"))
-    rows = rows.select(*KEYS, "copy", "ln", "breaks", "next", "last", F.posexplode("words").alias("pos", "token"))
-    whole = F.concat(F.regexp_replace("token", r"[-­¬]$", _MARK), F.col("next"))
-    token = F.when(F.col("breaks") & (F.col("pos") == F.col("last") - 1), whole).otherwise(F.col("token"))
-    return rows.select(*KEYS, "copy", "ln", "pos", token.alias("token"))
-
-
-def token_forms(tokens: DataFrame) -> DataFrame:
-    """``tokens`` with split, form (the bare word, halves joined), alt (halves with a hyphen), half
-    (the second half) and cap (it begins with a capital, as names and sentences do)."""
-    split = F.col("token").contains(_MARK)
-    return tokens.withColumns({
-        "split": split,
-        "form": bare_word(F.replace("token", F.lit(_MARK), F.lit(""))),
-        "half": F.when(split, bare_word(F.split_part("token", F.lit(_MARK), F.lit(2)))),
-        "cap": F.regexp_replace("token", f"^{_EDGE}", "").rlike(r"^\p{Lu}"),
-        "alt": F.when(split, bare_word(F.replace("token", F.lit(_MARK), F.lit("-")))),
-    })
-
-
-def right_forms(forms: DataFrame) -> DataFrame:
-    """form, cap, right, n: how each written form should read in that case, and in how many texts
-    ``right`` stands so.
-
-    Counts are taken over all texts, by case: what surrounds a capitalised form (a sentence's
-    start, a name) supports other words than what surrounds a lower-case one, so candidates of
-    the same case go first and those of the other case serve only where there are none. Within a
-    skeleton group a form yields to the frequent form nearest to it; forms that yield themselves
-    are no candidates; broken words count for nothing. Only distinct forms meet in the join.
+def form_counts(texts: DataFrame) -> DataFrame:
+    """form, cap, n: in how many different texts each form stands whole."""
+    each = F.array_distinct(F.transform("wholes", lambda x: F.struct(x["form"].alias("form"), x["cap"].alias("cap"))))
+    return texts.select(F.explode(each).alias("x")).groupBy("x.form", "x.cap").agg(F.count(F.lit(1)).alias("n"))
+
+
+def candidate_forms(texts: DataFrame) -> DataFrame:
+    """form, cap, right, rank, beats: the forms each written one may stand for, their order, and
+    whether they are frequent enough beside it to be taken without regard to context.
+
+    Counts are taken over all texts, by case: candidates of the same case go first and those of the
+    other case serve only where there are none. Within a skeleton group a form yields to the frequent
+    form nearest to it; forms that yield themselves are no candidates; broken words count for nothing.
+    Only distinct forms meet in the join.
     """
-    seen = forms.where(~F.col("split")).select("copy", "form", "cap").distinct().groupBy("form", "cap").agg(F.count(F.lit(1)).alias("n"))
-    broken = forms.where("split").select("cap", F.explode(F.array("form", "alt", "half")).alias("form")).distinct()
+    seen = form_counts(texts)
+    broken = texts.select(F.explode("splits").alias("x")).select("x.cap", F.explode(F.array("x.form", "x.alt", "x.half")).alias("form")).distinct()
     asked = (
-        seen.unionByName(broken.withColumn("n", F.lit(0).cast("long"))).where(F.col("form").rlike("[a-z]") & (F.length("form") <= 40))
+        seen.unionByName(broken.withColumn("n", F.lit(0).cast("long"))).where(F.col("form").rlike("[a-z]"))
         .groupBy("form", "cap").agg(F.max("n").alias("n")).withColumn("sk", skeleton(F.col("form")))
         .withColumn("all", F.sum("n").over(Window.partitionBy("form")))
     )
+    asked = written(asked)
     letters = F.col("form").rlike(_WORD)
     good = asked.where(letters & (F.col("n") >= LEAST_RIGHT)).withColumn("top", F.max("n").over(Window.partitionBy("sk", "cap")))
     # a form that itself yields to another of its group is no right form
@@ -190,69 +198,111 @@ def right_forms(forms: DataFrame) -> DataFrame:
         (F.col("cap") != F.col("rcap")).alias("other"), (F.col("m") < F.col("all") * RATIO).alias("own"),
         F.levenshtein("form", "right").alias("d"), (-F.col("m")).alias("neg"), F.col("right").alias("right"),
     )
-    best = asked.join(good, "sk").where(beats).groupBy("form", "cap").agg(F.min(rank).alias("r"))
-    return best.select("form", "cap", F.col("r.right").alias("right"), (-F.col("r.neg")).alias("n"))
+    met = asked.join(good, "sk").select("form", "cap", "right", rank.alias("rank"), beats.alias("beats"))
+    return met.groupBy("form", "cap", "right").agg(F.min("rank").alias("rank"), F.max("beats").alias("beats"))
 
 
-def corrections(rights: DataFrame) -> DataFrame:
-    """form, cap, right of the forms that are misread; single letters are initials and stay."""
-    return rights.where((F.col("form") != F.col("right")) & (F.length("form") > 1)).select("form", "cap", "right")
+def right_forms(candidates: DataFrame) -> DataFrame:
+    """form, cap, right, n: the first candidate of each written form."""
+    best = candidates.where("beats").groupBy("form", "cap").agg(F.min("rank").alias("r"))
+    return best.select("form", "cap", F.col("r.right").alias("right"), (-F.col("r.neg")).alias("n"))
 
 
-def noise_found(report_extract: DataFrame, cells: DataFrame) -> DataFrame:
-    """src, rec_id, kind, token (distinct): kinds split, misread and furniture.
+def forms_in_context(texts: DataFrame, candidates: DataFrame) -> DataFrame:
+    """copy, form, cap, beside: where several forms fit a whole form of a text, the one that neighbouring
+    words support.
 
-    The marked lines, each text's distinct forms and the right forms are written once each.
+    Only forms of the case that goes first compete. Support of a form is the number of texts in
+    which it stands, in the case in question, behind the same word or before the same word. Only forms that compete, and what they may stand for, leave their texts.
     """
-    marked = written(marked_lines(text_lines(scanned_texts(report_extract, cells))))
-    forms = written(token_forms(reflowed_tokens(marked)).select(*KEYS, "copy", "split", "form", "cap", "half", "alt").distinct())
-    rights = written(right_forms(forms))
-    furniture = marked.where("furniture").select(*KEYS, F.lit("furniture").alias("kind"), F.col("line").alias("token"))
-    whole = forms.where(~F.col("split")).select(*KEYS, "form", "cap")
-    misread = whole.join(corrections(rights), ["form", "cap"]).select(*KEYS, F.lit("misread").alias("kind"), F.col("right").alias("token"))
-    broken = forms.where("split").select(*KEYS, "form", "cap", "alt", "half")
+    best = F.min("rank.other").over(Window.partitionBy("form", "cap"))
+    candidates = candidates.withColumn("best", best).where(F.col("rank.other") == F.col("best"))
+    several = candidates.groupBy("form", "cap").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("form", "cap")
+    several = written(candidates.join(several, ["form", "cap"]).select("form", "cap", "right", (F.col("cap") != F.col("rank.other")).alias("rcap")))
+    asked = several.select(F.explode(F.array("form", "right")).alias("form")).distinct()
+    placed = F.transform("words", lambda w, i: F.struct(
+        bare_word(w).alias("form"), (F.left(F.btrim(w, F.lit(_EDGES)), F.lit(1)) != F.lower(F.left(F.btrim(w, F.lit(_EDGES)), F.lit(1)))).alias("cap"),
+        F.array(bare_word(F.coalesce(F.get("words", i - 1), F.lit(""))), F.concat(F.lit(">"), bare_word(F.coalesce(F.get("words", i + 1), F.lit(""))))).alias("near"),
+    ))
+    stands = written(texts.select("copy", F.explode(placed).alias("x")).select("copy", "x.*").join(asked, "form").select("copy", "form", "cap", F.explode("near").alias("near")).where("near not in ('', '>')").distinct())
+    support = stands.groupBy(F.col("form").alias("right"), F.col("cap").alias("rcap"), "near").agg(F.count_distinct("copy").alias("s"))
+    own = stands.join(several, ["form", "cap"]).join(support, ["right", "rcap", "near"]).groupBy("copy", "form", "cap", "right").agg(
+        F.sum(F.when(F.col("form") == F.col("right"), F.col("s") - 1).otherwise(F.col("s"))).alias("s")  # the text itself is no support
+    )
+    best = own.groupBy("copy", "form", "cap").agg(F.max(F.struct("s", "right")).alias("b"), F.sort_array(F.collect_list("s"), asc=False).alias("all"))
+    clear = (F.col("b.s") >= LEAST_BESIDE) & (F.col("b.s") >= RATIO * F.coalesce(F.get("all", F.lit(1)), F.lit(0)))
+    return best.where(clear).select("copy", "form", "cap", F.col("b.right").alias("beside"))
+
+
+def changed_tokens(texts: DataFrame) -> DataFrame:
+    """copy, token, kinds (split, misread or both), right: what each finding in the running text should
+    read, in lower case without punctuation. Single letters are initials and stay. ``texts``: written_forms."""
+    candidates = written(candidate_forms(texts))
+    rights = written(right_forms(candidates))
+    context = forms_in_context(texts, candidates)
+    wholes = texts.select("copy", F.explode("wholes").alias("x")).select("copy", "x.*")
+    fixed = rights.where((F.col("form") != F.col("right")) & (F.length("form") > 1)).select("form", "cap", "right")
+    plain = wholes.join(fixed, ["form", "cap"])
+    supported = context.where(F.length("form") > 1)
+    plain = plain.join(supported, ["copy", "form", "cap"], "left").withColumn("right", F.coalesce("beside", "right")).drop("beside")
+    # a form that reads well by itself may still be out of place
+    real = wholes.join(supported.where("form <> beside"), ["copy", "form", "cap"]).join(fixed.select("form", "cap"), ["form", "cap"], "left_anti").withColumnRenamed("beside", "right")
+    misread = plain.unionByName(real).where("form <> right").select("copy", "token", F.array(F.lit("misread")).alias("kinds"), "right", F.lit(False).alias("hyphen"))
+    broken = texts.select("copy", F.explode("splits").alias("x")).select("copy", "x.*")
     a = rights.select("form", "cap", F.col("right").alias("r1"), F.col("n").alias("n1"))
     b = rights.select(F.col("form").alias("alt"), "cap", F.col("right").alias("r2"), F.col("n").alias("n2"))
     c = rights.groupBy(F.col("form").alias("half")).agg(F.max("n").alias("n3"))
     joined = broken.join(a, ["form", "cap"], "left").join(b, ["alt", "cap"], "left").join(c, "half", "left")
-    # an unknown word whose second half is a word itself: the text lost words after the line end
-    joined = joined.where(F.coalesce("n1", "n2").isNotNull() | (F.col("n3").isNull() & F.col("form").rlike(_WORD)))
     hyphen = F.coalesce(F.col("n2"), F.lit(0)) > F.coalesce(F.col("n1"), F.lit(0))
-    token = F.when(hyphen, F.col("r2")).otherwise(F.coalesce(F.col("r1"), F.col("form")))
-    wrong = token != F.when(hyphen, F.col("alt")).otherwise(F.col("form"))
-    kinds = F.when(wrong, F.array(F.lit("split"), F.lit("misread"))).otherwise(F.array(F.lit("split")))
-    halves = joined.select(*KEYS, F.explode(kinds).alias("kind"), token.alias("token"))
-    return furniture.unionByName(misread).unionByName(halves).distinct()
+    right = F.when(hyphen, F.col("r2")).otherwise(F.coalesce(F.col("r1"), F.col("form")))
+    wrong = right != F.when(hyphen, F.col("alt")).otherwise(F.col("form"))
+    # an unknown word whose second half is a word itself: the text lost words after the line end
+    found = F.coalesce("n1", "n2").isNotNull() | (F.col("n3").isNull() & F.col("form").rlike(_WORD))
+    kinds = F.when(found & wrong, F.array(F.lit("split"), F.lit("misread"))).when(found, F.array(F.lit("split"))).otherwise(F.array())
+    return misread.unionByName(joined.select("copy", "token", kinds.cast("array<string>").alias("kinds"), right.alias("right"), hyphen.alias("hyphen")))
+
+
+def _prepared(report_extract: DataFrame, cells: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(src, rec_id, copy of the rows; their different texts as written_forms), the latter written once."""
+    rows = scanned_texts(report_extract, cells)
+    texts = written(distinct_texts(rows))
+    return rows.select(*KEYS, "copy"), written(written_forms(marked_texts(texts)))
+
+
+def copy_findings(texts: DataFrame) -> DataFrame:
+    """copy, kind, token (distinct) of each different text: kinds split, misread and furniture."""
+    furniture = texts.where("marks is not null").select("copy", F.lit("furniture").alias("kind"), F.explode(F.transform("marks", lambda i: F.get("lines", i))).alias("token"))
+    changed = changed_tokens(texts).select("copy", F.explode("kinds").alias("kind"), F.col("right").alias("token"))
+    return furniture.unionByName(changed).distinct()
+
+
+def noise_found(report_extract: DataFrame, cells: DataFrame) -> DataFrame:
+    """src, rec_id, kind, token (distinct): kinds split, misread and furniture."""
+    rows, texts = _prepared(report_extract, cells)
+    return rows.distinct().join(written(copy_findings(texts)), "copy").select(*KEYS, "kind", "token").distinct()
 
 
 def repaired_texts(report_extract: DataFrame, cells: DataFrame) -> DataFrame:
     """src, rec_id, text: each text as continuous paragraphs, without furniture, halves joined,
     misread words put right (a capital first letter and all capitals are kept).
 
-    Empty lines part paragraphs. Texts of one id that differ come out as one row each.
+    Empty lines part paragraphs. Texts of one id that differ come out as one row each; blank ones don't.
     """
-    lines = text_lines(scanned_texts(report_extract, cells))
-    forms = written(token_forms(reflowed_tokens(marked_lines(lines))))
-    rights = written(right_forms(forms))
-    w = Window.partitionBy(*KEYS, "copy").orderBy("ln").rowsBetween(Window.unboundedPreceding, 0)
-    paragraphs = lines.withColumn("par", F.count(F.when(F.col("line") == "", 1)).over(w)).select(*KEYS, "copy", "ln", "par").distinct()
-    a = rights.select("form", "cap", F.col("right").alias("r1"), F.col("n").alias("n1"))
-    b = rights.select(F.col("form").alias("alt"), "cap", F.col("right").alias("r2"), F.col("n").alias("n2"))
-    rows = forms.join(a, ["form", "cap"], "left").join(b, ["alt", "cap"], "left").join(paragraphs, [*KEYS, "copy", "ln"])
-    hyphen = F.col("split") & (F.coalesce("n2", F.lit(0)) > F.coalesce("n1", F.lit(0)))
-    as_read = F.when(hyphen, F.col("alt")).otherwise(F.col("form"))
-    right = F.coalesce(F.when(hyphen, F.col("r2")).otherwise(F.col("r1")), as_read)
-    plain = F.replace("token", F.lit(_MARK), F.when(hyphen, F.lit("-")).otherwise(F.lit("")))
-    body = F.regexp_extract(plain, f"^(?:{_EDGE})?(.*?)(?:{_EDGE})?$", 1)
-    cased = F.when((F.length(body) > 1) & (F.upper(body) == body), F.upper(right)).when(body.rlike(r"^\p{Lu}"), F.initcap(right)).otherwise(right)
-    fixed = F.when((right != as_read) & (body != ""), F.replace(plain, body, cased)).otherwise(plain)
-    tokens = rows.groupBy(*KEYS, "copy", "par").agg(F.sort_array(F.collect_list(F.struct("ln", "pos", fixed.alias("t")))).alias("ts"))
-    parts = tokens.withColumn("p", F.array_join(F.transform("ts", lambda x: x["t"]), " "))
-    return parts.groupBy(*KEYS, "copy").agg(
-        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("par", "p"))), lambda x: x["p"]), "\n\n").alias("text")
-    ).drop("copy")
+    rows, texts = _prepared(report_extract, cells)
+    plain = F.replace("token", F.lit(_MARK), F.when(F.col("hyphen"), F.lit("-")).otherwise(F.lit("")))
+    body = F.btrim(plain, F.lit(_EDGES))
+    cased = F.when((F.length(body) > 1) & (F.upper(body) == body), F.upper("right")).when(body.rlike(r"^\p{Lu}"), F.initcap("right")).otherwise(F.col("right"))
+    read = F.when((F.lower(body) != F.col("right")) & (body != ""), F.replace(plain, body, cased)).otherwise(plain)
+    # the changes of a text are as many as its findings
+    changes = changed_tokens(texts).select("copy", "token", read.alias("read")).groupBy("copy").agg(F.map_from_entries(F.collect_list(F.struct("token", "read"))).alias("changes"))
+    put_right = lambda w: F.coalesce(F.element_at("changes", w), F.replace(w, F.lit(_MARK), F.lit("")))
+    paragraph = lambda p: F.array_join(F.transform(F.filter(F.split(p, r"[ \n]"), lambda w: w != ""), put_right), " ")
+    paragraphs = F.filter(F.transform(F.split(running_text(F.col("lines"), F.col("marks")), _PARAGRAPH), paragraph), lambda p: p != "")
+    done = texts.join(written(changes), "copy", "left").select("copy", F.array_join(paragraphs, "\n\n").alias("text")).where("text <> ''")
+    return rows.distinct().join(done, "copy").select(*KEYS, "text")
 
 
 def damaged_records(report_extract: DataFrame, cells: DataFrame) -> DataFrame:
-    """src, rec_id, damage: the number of different findings of each record that has any."""
-    return noise_found(report_extract, cells).groupBy(*KEYS).agg(F.count(F.lit(1)).alias("damage"))
+    """src, rec_id of each record with any finding."""
+    rows, texts = _prepared(report_extract, cells)
+    return rows.join(written(copy_findings(texts)).select("copy").distinct(), "copy").select(*KEYS).distinct()

@@ -31,7 +31,7 @@ def placed_loads(cells: DataFrame, pdfs: DataFrame, pages: DataFrame, form: Data
     rows = resolve_cells(cells, pdfs, form, ["row_id", "page_num", "text", "loaded_at"])
     known = pages.select("pdf_id", "page_num", F.lit(True).alias("page_ok")).distinct()
     rows = rows.join(known, ["pdf_id", "page_num"], "left")
-    damage = damaged_records(report_extract, cells).where("src = 'cr_summary_data_temp'").select(F.col("rec_id").cast("bigint").alias("row_id"), "damage")
+    damage = damaged_records(report_extract, cells).where("src = 'cr_summary_data_temp'").select(F.col("rec_id").cast("bigint").alias("row_id"), F.lit(True).alias("damage"))
     prose = F.col("column_name").isin(*PROSE_COLUMNS)
     rows = rows.join(damage, "row_id", "left")
     value = plain_text(F.col("text"))

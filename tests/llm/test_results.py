@@ -136,6 +136,17 @@ def test_noise_by_hand(spark):
     assert texts["a0000001"] == "the accused person followed the witness toward the corner store during the off-duty afternoon."
 
 
+def test_words_beside_decide_between_two_frequent_forms(spark):
+    rows = [(f"a{i:07x}", f"he stood at the corner store number {i}") for i in range(40)] + [(f"b{i:07x}", f"a late comer {i} was sent away") for i in range(12)]
+    rows += [("c0000001", "she waited at the comer store that day"), ("c0000002", "a late comer was let in"), ("c0000003", "one corner was dark")]
+    extract = spark.createDataFrame(rows, "docid string, narrative string")
+    cells = spark.createDataFrame([], "row_id long, column_name string, text string")
+    got = {tuple(r) for r in page_noise.noise_found(extract, cells).collect()}
+    assert got == {("report_extract", "c0000001", "misread", "corner")}
+    texts = {r["rec_id"]: r["text"] for r in page_noise.repaired_texts(extract, cells).collect()}
+    assert texts["c0000001"] == "she waited at the corner store that day" and texts["c0000002"] == "a late comer was let in"
+
+
 def test_best_of_cells_by_hand(spark, data):
     form = read_table(spark, data, "form_columns")
     pdfs = spark.createDataFrame([(1, "LOG_1.pdf")], "id long, filename string")

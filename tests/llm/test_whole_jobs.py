@@ -40,8 +40,8 @@ def test_header_of_one_unit_is_found_among_any_number_of_texts(spark):
     cells = spark.createDataFrame([], "row_id long, column_name string, text string")
     for more in ([], others):
         extract = spark.createDataFrame(unit + opening + copies + more, "docid string, narrative string")
-        lines = page_noise.text_lines(page_noise.scanned_texts(extract, cells))
-        assert [r["mask"] for r in page_noise.furniture_templates(lines).collect()] == ["Unit Seven Desk Copy #"]
+        texts = page_noise.distinct_texts(page_noise.scanned_texts(extract, cells))
+        assert [r["mask"] for r in page_noise.furniture_templates(texts).collect()] == ["Unit Seven Desk Copy #"]
 
 
 def test_organisations_are_compared_on_all_words():
