@@ -166,10 +166,17 @@ def test_best_of_cells_by_hand(spark, data):
 
 
 def test_layers_are_dominance_depths(spark):
-    rows = [(1, 1, 10, datetime(2020, 1, 1), 1, True, 1), (1, 1, 9, datetime(2020, 1, 2), 2, False, 1), (1, 0, 12, datetime(2020, 1, 3), 3, False, 1), (1, 0, 9, datetime(2020, 1, 1), 4, False, 1)]
+    day = lambda d: datetime(2020, 1, d)
+    rows = [(1, 1, 10, day(1), 1, True, 1), (1, 1, 9, day(2), 2, False, 1), (1, 0, 12, day(3), 3, False, 1), (1, 0, 9, day(1), 4, False, 1)]
+    # the last load has the best text but no page, the one before a page the file lacks
+    rows += [(2, 1, 5, day(1), 11, True, 7), (2, 1, 5, day(2), 12, True, 3), (2, 1, 6, day(4), 13, False, None), (2, 0, 2, day(3), 14, False, 99), (3, 1, 0, day(1), 21, False, None)]
     df = spark.createDataFrame(rows, "g int, trust int, complete int, loaded_at timestamp_ntz, row_id long, page_ok boolean, page_num int")
-    layers = {x["row_id"]: x["layer"] for x in survivors.skyline_layers(df, ["g"]).first()["layers"]}
-    assert layers == {1: 1, 2: 1, 3: 1, 4: 2}
+    got = {r["g"]: r for r in survivors.layered_cells(df, ["g"]).collect()}
+    assert {x["entry"]["row_id"]: x["layer"] for x in got[1]["texts"]} == {1: 1, 2: 1, 3: 1, 4: 2}
+    assert {x["entry"]["row_id"]: x["layer"] for x in got[2]["pages"]} == {13: 1, 12: 2} and {x["entry"]["row_id"]: x["layer"] for x in got[2]["texts"]} == {13: 1, 14: 2, 12: 2}
+    picks = survivors.layered_cells(df, ["g"]).select("g", survivors.survivor(F.col("texts"), "has_text", ["trust", "complete", "loaded_at", "row_id"])["row_id"], survivors.survivor(F.col("pages"), "page_ok", ["loaded_at", "row_id"])["page_num"])
+    # the page of the second group comes from its second layer: no plain maximum of the first has it
+    assert {tuple(r) for r in picks.collect()} == {(1, 1, 1), (2, 13, 3), (3, None, None)}
 
 
 def test_name_pairs_by_hand(spark):
