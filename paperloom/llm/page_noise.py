@@ -40,6 +40,8 @@ _WORD = r"^[a-z]+(?:['-][a-z]+)*$"
 _BREAK = r"([\p{L}\p{N}€@+|ƒ])[-­¬][\n\x02]+(?=[\p{L}€@+|ƒ])"
 #: Between the halves of a broken word, and between paragraphs.
 _MARK, _PARAGRAPH = "\u0001", "\u0002"
+#: Before the form of a word with a capital, in a case key.
+_CAPITAL = "\u0003"
 _BARE_NUMBER = r"^[^\p{L}\p{N}.]{0,4}\d{1,9}[^\p{L}\p{N}.]{0,4}$"
 KEYS = ["src", "rec_id"]
 
@@ -73,10 +75,13 @@ def scanned_texts(report_extract: DataFrame, cells: DataFrame) -> DataFrame:
 
 
 def distinct_texts(rows: DataFrame) -> DataFrame:
-    """copy, lines: each different text once, as its trimmed lines with runs of blanks as one."""
-    t = F.regexp_replace("text", r"\r\n?", "\n")
-    lines = F.transform(F.split(t, "\n"), lambda x: F.btrim(F.regexp_replace(x, r"[\s\u00a0]+", " ")))
-    return rows.select("copy", "text").dropDuplicates(["copy"]).select("copy", lines.alias("lines"))
+    """copy, lines, masks: each different text once, as its trimmed lines with runs of blanks as one,
+    and the same lines with digits masked. Cut as whole texts, so that no line is handled alone."""
+    t = F.regexp_replace(F.regexp_replace("text", r"\r\n?", "\n"), r"[^\S\n]+|\u00a0+", " ")
+    t = F.regexp_replace(F.regexp_replace(t, " +", " "), "(?m)^ | $", "")
+    return rows.select("copy", "text").dropDuplicates(["copy"]).select("copy", t.alias("t")).select(
+        "copy", F.split("t", "\n").alias("lines"), F.split(line_mask(F.col("t")), "\n").alias("masks")
+    )
 
 
 def line_mask(line: Column) -> Column:
@@ -94,15 +99,16 @@ def furniture_templates(texts: DataFrame) -> DataFrame:
     that ends no sentence, and if its first STEM words, where they occur within the lines, mostly
     begin one: prose wraps anywhere. Templates without a letter need no such stem.
     """
-    filled = texts.where(F.size("lines") > 1).select("copy", F.filter("lines", lambda x: x != "").alias("ls"))
+    none = F.array(F.lit(None).cast("string"))
+    filled = texts.where(F.size("lines") > 1).select("copy", F.array_remove("lines", "").alias("ls"), F.array_remove("masks", "").alias("masks")).where(F.size("ls") > 0)
+    n = F.size("ls")
+    around = F.arrays_zip("masks", F.concat(none, F.slice("ls", F.lit(1), n - 1)).alias("before"), F.concat(F.slice("ls", F.lit(2), n - 1), none).alias("after"))
     hashed = lambda c: F.when(c.isNotNull(), F.xxhash64(c))
-    # each line with those around it; arrays are cut once a text and only what is asked for leaves it
-    around = F.transform("ls", lambda x, i: F.struct(line_mask(x).alias("mask"), F.get("ls", i - 1).alias("before"), F.get("ls", i + 1).alias("after")))
     laid = (
-        filled.select("copy", F.explode(F.filter(around, lambda x: ~x["mask"].rlike(r"^\p{Ll}|[.?!]$"))).alias("x"))
+        filled.select("copy", F.inline(around).alias("mask", "before", "after")).where(~F.col("mask").rlike(r"^\p{Ll}|[.?!]$"))
         .select(
-            "copy", "x.mask", (~F.col("x.before").rlike(r"[.?!]['\"”)]?$")).cast("int").alias("open"), F.col("x.after").rlike(r"^\p{Ll}").cast("int").alias("goes_on"),
-            hashed(F.col("x.before")).alias("before"), hashed(F.col("x.after")).alias("after"),
+            "copy", "mask", (~F.col("before").rlike(r"[.?!]['\"”)]?$")).cast("int").alias("open"), F.col("after").rlike(r"^\p{Ll}").cast("int").alias("goes_on"),
+            hashed(F.col("before")).alias("before"), hashed(F.col("after")).alias("after"),
         )
     )
     seen = laid.groupBy("mask", "copy").agg(F.avg("open").alias("open")).groupBy("mask").agg(F.count(F.lit(1)).alias("n"), F.avg("open").alias("open"))
@@ -110,18 +116,14 @@ def furniture_templates(texts: DataFrame) -> DataFrame:
     varied = laid.join(often, "mask").groupBy("mask").agg(F.count_distinct("before").alias("b"), F.count_distinct("after").alias("a"), F.avg("goes_on").alias("goes_on"))
     between = F.least("b", "a") >= LEAST_TEXTS
     varied = varied.where(between | ((F.col("b") >= LEAST_TEXTS) & (F.col("a") == 0)) | ((F.col("a") >= LEAST_TEXTS) & (F.col("goes_on") < 0.5)))
-    stem = lambda words, at: F.xxhash64(F.array_join(F.slice(words, at, STEM), " "))
     words = F.split("mask", " ")
     # the stem of a template of fewer words is the whole of it
-    asked = varied.where(F.col("mask").rlike(r"\p{L}")).select("mask", F.least(F.size(words), F.lit(STEM)).alias("size"), stem(words, 1).alias("stem"))
-    def stems(line: Column) -> Column:
-        ws = F.split(line_mask(line), " ")
-        at = F.filter(F.transform(ws, lambda w, i: F.when(~w.rlike(r"^\p{Ll}"), i)), lambda i: i.isNotNull())
-        return F.flatten(F.transform(at, lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(STEM), F.size(ws) - i)), lambda k: F.struct(
-            (i == 0).cast("int").alias("begins"), k.alias("size"), F.xxhash64(F.array_join(F.slice(ws, i + 1, k), " ")).alias("stem")
-        ))))
-
-    grams = filled.select(F.explode(F.flatten(F.transform("ls", stems))).alias("x")).select("x.*")
+    size = F.least(F.size("ws"), F.lit(STEM))
+    asked = written(varied.where(F.col("mask").rlike(r"\p{L}")).select("mask", words.alias("ws")).select("mask", F.col("ws")[0].alias("word"), size.alias("size"), F.xxhash64(F.array_join(F.slice("ws", F.lit(1), size), " ")).alias("stem")))
+    # only words that begin a template go on to be compared in their lines
+    starts = filled.select(F.explode("masks").alias("mask")).select(words.alias("ws")).select("ws", F.posexplode("ws").alias("at", "word"))
+    starts = starts.join(asked.select("word", "size").distinct(), "word").where(F.size("ws") - F.col("at") >= F.col("size"))
+    grams = starts.select((F.col("at") == 0).cast("int").alias("begins"), "size", F.xxhash64(F.array_join(F.slice("ws", F.col("at") + 1, F.col("size")), " ")).alias("stem"))
     begun = grams.join(asked.select("size", "stem").distinct(), ["size", "stem"]).groupBy("size", "stem").agg(F.avg("begins").alias("share"))
     alone = asked.join(begun.where(F.col("share") >= 0.5), ["size", "stem"]).select("mask")
     return alone.unionByName(varied.where(~F.col("mask").rlike(r"\p{L}")).select("mask")).withColumn("known", F.lit(True))
@@ -130,45 +132,55 @@ def furniture_templates(texts: DataFrame) -> DataFrame:
 def marked_texts(texts: DataFrame) -> DataFrame:
     """``texts`` with ``marks``: the places of their furniture lines (known templates; page numbers
     standing alone), null without."""
-    masks = texts.where(F.size("lines") > 1).select("copy", F.explode(F.filter(
-        F.transform("lines", lambda x, i: F.struct(i.alias("i"), line_mask(x).alias("mask"), x.rlike(_BARE_NUMBER).alias("bare"))), lambda x: x["mask"] != ""
-    )).alias("x")).select("copy", "x.*")
+    masks = texts.where(F.size("lines") > 1).select("copy", F.posexplode(F.arrays_zip("masks", "lines")).alias("i", "x"))
+    masks = masks.select("copy", "i", "x.masks", F.col("x.lines").rlike(_BARE_NUMBER).alias("bare")).where("masks <> ''").withColumnRenamed("masks", "mask")
     known = masks.join(furniture_templates(texts), "mask", "left").where(F.col("bare") | F.col("known").isNotNull())
-    return texts.join(known.groupBy("copy").agg(F.collect_set("i").alias("marks")), "copy", "left")
+    return texts.join(known.groupBy("copy").agg(F.collect_set("i").alias("marks")), "copy", "left").select("copy", "lines", "marks")
 
 
 def running_text(lines: Column, marks: Column) -> Column:
     """The lines without furniture as one text: the halves of a word broken over a line end are parted by
     U+0001 (a hyphen that ends a dash joins nothing), paragraphs by U+0002, lines by line ends."""
-    kept = F.filter(lines, lambda x, i: marks.isNull() | ~F.array_contains(marks, i))
+    kept = F.when(marks.isNull(), lines).otherwise(F.filter(lines, lambda x, i: ~F.array_contains(marks, i)))
     text = F.regexp_replace(F.array_join(kept, "\n"), "\n\n+", _PARAGRAPH)
     return F.regexp_replace(text, _BREAK, f"$1{_MARK}")
 
 
+def case_key(bare: Column) -> Column:
+    """The lower-case form of a word without punctuation around it, behind a mark if it has a capital:
+    form and case in one string, which arrays compare fast."""
+    first = F.left(bare, F.lit(1))
+    return F.concat(F.when(first != F.lower(first), _CAPITAL).otherwise(""), F.lower(bare))
+
+
+def key_parts(key: Column) -> list[Column]:
+    """form and cap of a case key."""
+    cap = F.startswith(key, F.lit(_CAPITAL))
+    return [F.when(cap, F.substring(key, 2, 1 << 20)).otherwise(key).alias("form"), cap.alias("cap")]
+
+
 def written_forms(texts: DataFrame) -> DataFrame:
-    """copy, lines, marks, words (the tokens of the running text in order), wholes and splits: the
-    different tokens with their bare forms. Of a broken word: ``alt`` has a hyphen between the halves,
-    ``half`` is the second. ``cap``: it begins with a capital, as names and sentences do."""
-    words = F.filter(F.split(running_text(F.col("lines"), F.col("marks")), r"[ \n\x02]"), lambda w: w != "")
-    rows = texts.select("copy", "lines", "marks", words.alias("words")).withColumn("tokens", F.array_distinct("words"))
+    """copy, lines, marks, words (the tokens of the running text in order), wholes (the different whole
+    tokens), keys (their case keys) and splits: the different broken words, where ``alt`` has a hyphen
+    between the halves, ``half`` is the second, and ``cap``: it begins with a capital, as names and
+    sentences do."""
+    words = F.array_remove(F.split(running_text(F.col("lines"), F.col("marks")), r"[ \n\x02]"), "")
+    rows = texts.select("copy", "lines", "marks", words.alias("words"))
+    rows = rows.withColumn("tokens", F.array_distinct("words")).withColumn("some", F.array_join("words", " ").contains(_MARK))
+    rows = rows.withColumn("wholes", F.when(F.col("some"), F.filter("tokens", lambda t: ~t.contains(_MARK))).otherwise(F.col("tokens")))
+    bare = F.transform("wholes", lambda t: F.btrim(t, F.lit(_EDGES)))
     first = lambda t: F.left(F.btrim(t, F.lit(_EDGES)), F.lit(1))
-    cap = lambda t: first(t) != F.lower(first(t))
     joined = lambda t, by: bare_word(F.replace(t, F.lit(_MARK), F.lit(by)))
-    whole = F.filter("tokens", lambda t: ~t.contains(_MARK))
-    broken = F.filter("tokens", lambda t: t.contains(_MARK))
-    return rows.select(
-        "copy", "lines", "marks", "words",
-        F.transform(whole, lambda t: F.struct(t.alias("token"), bare_word(t).alias("form"), cap(t).alias("cap"))).alias("wholes"),
-        F.transform(broken, lambda t: F.struct(
-            t.alias("token"), joined(t, "").alias("form"), cap(t).alias("cap"), joined(t, "-").alias("alt"), bare_word(F.element_at(F.split(t, _MARK), -1)).alias("half")
-        )).alias("splits"),
-    )
+    broken = F.transform(F.filter("tokens", lambda t: t.contains(_MARK)), lambda t: F.struct(
+        t.alias("token"), joined(t, "").alias("form"), (first(t) != F.lower(first(t))).alias("cap"), joined(t, "-").alias("alt"), bare_word(F.element_at(F.split(t, _MARK), -1)).alias("half")
+    ))
+    return rows.select("copy", "lines", "marks", "words", "wholes", F.transform(bare, case_key).alias("keys"), F.when(F.col("some"), broken).alias("splits"))
 
 
 def form_counts(texts: DataFrame) -> DataFrame:
     """form, cap, n: in how many different texts each form stands whole."""
-    each = F.array_distinct(F.transform("wholes", lambda x: F.struct(x["form"].alias("form"), x["cap"].alias("cap"))))
-    return texts.select(F.explode(each).alias("x")).groupBy("x.form", "x.cap").agg(F.count(F.lit(1)).alias("n"))
+    counts = texts.select(F.explode(F.array_distinct("keys")).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    return counts.select(*key_parts(F.col("key")), "n")
 
 
 def candidate_forms(texts: DataFrame) -> DataFrame:
@@ -220,11 +232,13 @@ def forms_in_context(texts: DataFrame, candidates: DataFrame) -> DataFrame:
     several = candidates.groupBy("form", "cap").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("form", "cap")
     several = written(candidates.join(several, ["form", "cap"]).select("form", "cap", "right", (F.col("cap") != F.col("rank.other")).alias("rcap")))
     asked = several.select(F.explode(F.array("form", "right")).alias("form")).distinct()
-    placed = F.transform("words", lambda w, i: F.struct(
-        bare_word(w).alias("form"), (F.left(F.btrim(w, F.lit(_EDGES)), F.lit(1)) != F.lower(F.left(F.btrim(w, F.lit(_EDGES)), F.lit(1)))).alias("cap"),
-        F.array(bare_word(F.coalesce(F.get("words", i - 1), F.lit(""))), F.concat(F.lit(">"), bare_word(F.coalesce(F.get("words", i + 1), F.lit(""))))).alias("near"),
-    ))
-    stands = written(texts.select("copy", F.explode(placed).alias("x")).select("copy", "x.*").join(asked, "form").select("copy", "form", "cap", F.explode("near").alias("near")).where("near not in ('', '>')").distinct())
+    edge = F.array(F.lit(""))
+    n = F.size("bare")
+    bare = texts.select("copy", F.transform("words", lambda w: F.btrim(w, F.lit(_EDGES))).alias("bare")).where(n > 0)
+    placed = F.arrays_zip("bare", F.concat(edge, F.slice("bare", F.lit(1), n - 1)).alias("left"), F.concat(F.slice("bare", F.lit(2), n - 1), edge).alias("right"))
+    rows = bare.select("copy", F.inline(placed).alias("bare", "left", "right")).withColumn("form", F.lower("bare")).join(asked, "form")
+    rows = rows.select("copy", "form", (F.left("bare", F.lit(1)) != F.lower(F.left("bare", F.lit(1)))).alias("cap"), F.array(F.lower("left"), F.concat(F.lit(">"), F.lower("right"))).alias("near"))
+    stands = written(rows.select("copy", "form", "cap", F.explode("near").alias("near")).where("near not in ('', '>')").distinct())
     support = stands.groupBy(F.col("form").alias("right"), F.col("cap").alias("rcap"), "near").agg(F.count_distinct("copy").alias("s"))
     own = stands.join(several, ["form", "cap"]).join(support, ["right", "rcap", "near"]).groupBy("copy", "form", "cap", "right").agg(
         F.sum(F.when(F.col("form") == F.col("right"), F.col("s") - 1).otherwise(F.col("s"))).alias("s")  # the text itself is no support
@@ -240,7 +254,7 @@ def changed_tokens(texts: DataFrame) -> DataFrame:
     candidates = written(candidate_forms(texts))
     rights = written(right_forms(candidates))
     context = forms_in_context(texts, candidates)
-    wholes = texts.select("copy", F.explode("wholes").alias("x")).select("copy", "x.*")
+    wholes = texts.select("copy", F.inline(F.arrays_zip("wholes", "keys")).alias("token", "key")).select("copy", "token", *key_parts(F.col("key")))
     fixed = rights.where((F.col("form") != F.col("right")) & (F.length("form") > 1)).select("form", "cap", "right")
     plain = wholes.join(fixed, ["form", "cap"])
     supported = context.where(F.length("form") > 1)
