@@ -11,7 +11,7 @@ from paperloom.functions import text as tx
 from paperloom.functions.stats import average_rank, distinct_sorted_concat, median_counting_nulls
 from paperloom.operators import attributes, classify, dedupe, features, forms, layout, lines, narratives, records, relational, reports, sequence_model
 from paperloom.operators.rules import HEAD_RULES, LEFT_RULES, LINE_PATTERNS, SECTION_NAMES, TAIL_RULES
-from paperloom.plans import cells_sql, frames
+from paperloom.plans import cells_sql, frames, source_queries
 from paperloom.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -379,3 +379,8 @@ def _labelled(spark, sf_dir):
 
 
 _add("labelled_lines", _labelled, None)
+
+# files written from the tables and read back
+
+for _name, _build in source_queries.queries().items():
+    _add(_name, _build, source_queries.oracle_sql(_ORACLE["pages_per_batch"])[_name])

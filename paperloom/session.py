@@ -53,23 +53,36 @@ _serial = itertools.count()
 _cleaned: set[str] = set()
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder in the shared folder; deleted with the application's others by ``release`` or when its
+    driver ends."""
+    home = f"{shared_folder(spark)}/paperloom-tables-{spark.sparkContext.applicationId}"
+    if home not in _cleaned:
+        _cleaned.add(home)
+        atexit.register(_delete, spark, home)
+    return f"{home}/{os.getpid()}-{next(_serial)}"
+
+
 def written(df: DataFrame) -> DataFrame:
     """Write ``df`` once as a Parquet table in the shared folder and return that table.
 
     For results that several later steps read: the plan behind them is not run or planned
-    again, and a lost executor costs no recomputation. The tables of an application are deleted
-    when its driver ends.
+    again, and a lost executor costs no recomputation. The job runs when this is called. Tables
+    stay until ``release`` is called or the driver ends, since the result built on them reads them.
     """
     spark = df.sparkSession
-    home = f"{shared_folder(spark)}/paperloom-tables-{spark.sparkContext.applicationId}"
-    path = f"{home}/{os.getpid()}-{next(_serial)}"
+    path = scratch_folder(spark)
     df.write.parquet(path)
-    if home not in _cleaned:
-        _cleaned.add(home)
-        atexit.register(_delete, spark, home)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Delete all tables and files written for queries so far. For long sessions, once the results
+    have been read or stored; frames built on them can't be read afterwards."""
+    home = f"{shared_folder(spark)}/paperloom-tables-{spark.sparkContext.applicationId}"
+    _delete(spark, home)
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     try:
         jvm = spark.sparkContext._jvm

@@ -8,9 +8,14 @@ from pyspark.sql import functions as F
 from paperloom.tables import SCHEMAS
 
 
+def file_name(path: Column) -> Column:
+    """The last part of a file path or URI, with blanks and signs as they stand."""
+    return F.url_decode(F.replace(F.element_at(F.split(path, "/"), -1), F.lit("+"), F.lit("%2B")))
+
+
 def _page_of_path() -> tuple[Column, Column]:
     """(pdf_name, page number) of a path such as .../NAME.pdf/NAME.pdf.12.tsv."""
-    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
+    name = file_name(F.col("_metadata.file_path"))
     return F.regexp_extract(name, r"^(.*)\.\d+\.[A-Za-z]+$", 1), F.regexp_extract(name, r"\.(\d+)\.[A-Za-z]+$", 1).try_cast("int")
 
 
@@ -71,7 +76,7 @@ def read_form_documents(spark: SparkSession, path: str) -> DataFrame:
 def listed_pdfs(spark: SparkSession, path: str) -> DataFrame:
     """path, length and name of the files whose name ends in pdf; contents are not read."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*pdf").option("recursiveFileLookup", "true").load(path)
-    return files.select("path", "length", F.element_at(F.split("path", "/"), -1).alias("name"))
+    return files.select("path", "length", file_name(F.col("_metadata.file_path")).alias("name"))
 
 
 def hashed_files(spark: SparkSession, path: str, digits: int = 8) -> DataFrame:
@@ -100,6 +105,32 @@ def finished_pages(listing: DataFrame, pdfs: DataFrame, kinds: tuple[str, ...] =
     return wanted.join(listing.select("filename", "page", "kind").distinct(), ["filename", "page", "kind"], "left_anti").groupBy("filename").agg(F.count(F.lit(1)).alias("missing"))
 
 
+def page_files(spark: SparkSession, path: str) -> DataFrame:
+    """filename, page, kind of the page files under ``path``, such as NAME.pdf.12.tsv; contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    parts = r"^(.*)\.(\d+)\.([A-Za-z]+)$"
+    name = file_name(F.col("_metadata.file_path"))
+    return files.select(name.alias("name")).select(
+        F.regexp_extract("name", parts, 1).alias("filename"), F.regexp_extract("name", parts, 2).try_cast("int").alias("page"), F.regexp_extract("name", parts, 3).alias("kind")
+    ).where("page is not null")
+
+
+def read_feather(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Rows of Feather files with the columns of ``schema``; a file is read by one task."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("content")
+
+    def read(batches):
+        import pyarrow as pa
+        from pyarrow import feather
+
+        for batch in batches:
+            for content in batch.column(0):
+                yield from feather.read_table(pa.BufferReader(content.as_buffer()), columns=names).to_batches()
+
+    names = [part.strip().split(" ")[0].strip("`") for part in schema.split(",")]
+    return files.mapInArrow(read, schema)
+
+
 def read_database(spark: SparkSession, url: str, table: str, columns: list[str], **options: str) -> DataFrame:
     """Distinct rows of some columns of a database table; the projection is pushed to the database.
 

@@ -80,18 +80,18 @@ def hocr_words(pages: DataFrame, keys: list[str]) -> DataFrame:
             rows = []
             for row in zip(*[batch[k] for k in keys], batch["xml"]):
                 rows += [(*row[:-1], w.get("page"), w.get("block"), w.get("par"), w.get("line"), w["id"], w["title"], w["text"]) for w in parsed_words(row[-1])]
-            yield pd.DataFrame(rows, columns=[*keys, "page", "block", "par", "line", "id", "title", "text"])
+            yield pd.DataFrame(rows, columns=[*keys, "_page", "_block", "_par", "_line", "_id", "_title", "_text"])
 
     raw = spread(pages.select(*keys, "xml")).mapInPandas(
-        run, ", ".join(f"{k} {kinds[k]}" for k in keys) + ", page string, block string, par string, line string, id string, title string, text string"
+        run, ", ".join(f"{k} {kinds[k]}" for k in keys) + ", _page string, _block string, _par string, _line string, _id string, _title string, _text string"
     )
-    box = F.split(F.trim(F.regexp_replace(F.regexp_extract("title", r"bbox ([0-9]{1,4}(\s|;|$)){4}", 0), "[^0-9 ]", "")), r"\s+")
+    box = F.split(F.trim(F.regexp_replace(F.regexp_extract("_title", r"bbox ([0-9]{1,4}(\s|;|$)){4}", 0), "[^0-9 ]", "")), r"\s+")
     at = lambda i: F.get(box, F.lit(i)).try_cast("int")
-    conf = F.coalesce(keyed_title(F.col("title"), "x_wconf").try_cast("double"), F.lit(None))
+    conf = F.coalesce(keyed_title(F.col("_title"), "x_wconf").try_cast("double"), F.lit(None))
     return raw.select(
-        *keys, trailing_number(F.col("page")).alias("page_id"), trailing_number(F.col("block")).alias("block_id"), trailing_number(F.col("par")).alias("paragraph_id"),
-        trailing_number(F.col("line")).alias("line_id"), trailing_number(F.col("id")).alias("word_id"), F.trim("text").alias("text"),
-        at(0).alias("x0"), at(1).alias("y0"), at(2).alias("x1"), at(3).alias("y1"), conf.alias("conf"), keyed_title(F.col("title"), "x_size").try_cast("double").alias("sz"),
+        *keys, trailing_number(F.col("_page")).alias("page_id"), trailing_number(F.col("_block")).alias("block_id"), trailing_number(F.col("_par")).alias("paragraph_id"),
+        trailing_number(F.col("_line")).alias("line_id"), trailing_number(F.col("_id")).alias("word_id"), F.trim("_text").alias("text"),
+        at(0).alias("x0"), at(1).alias("y0"), at(2).alias("x1"), at(3).alias("y1"), conf.alias("conf"), keyed_title(F.col("_title"), "x_size").try_cast("double").alias("sz"),
     )
 
 
