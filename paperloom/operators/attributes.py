@@ -12,6 +12,8 @@ from paperloom.operators.ordinals import global_ordinals
 
 #: Entities of one ordinal range; a range with all its attributes is what one task holds.
 RANGE = 2048
+#: Columns that a wide table may get; an error beyond.
+MOST_ATTRIBUTES = 2000
 
 
 def entity_ordinals(entities: DataFrame, keys: list[str]) -> DataFrame:
@@ -69,7 +71,9 @@ def wide_columns(form: DataFrame) -> list[tuple[str, str]]:
 
     An attribute that stands in several sections with unequal types becomes a string column.
     """
-    rows = form.groupBy("attribute").agg(F.collect_set("value_type").alias("types")).orderBy("attribute").limit(2000).collect()
+    rows = form.groupBy("attribute").agg(F.collect_set("value_type").alias("types")).orderBy("attribute").limit(MOST_ATTRIBUTES + 1).collect()
+    if len(rows) > MOST_ATTRIBUTES:
+        raise ValueError(f"more than {MOST_ATTRIBUTES} attributes for one wide table")
     return [(r["attribute"], READERS[r["types"][0]][1] if len(r["types"]) == 1 else "string") for r in rows]
 
 

@@ -217,7 +217,7 @@ def merged_narratives(faces: DataFrame, digests: DataFrame, complaints: DataFram
 
 def stratified_sample(rows: DataFrame, stratum: str, ids: list[str], n: int, seed: int = 0) -> DataFrame:
     """At most n rows of each stratum in a reproducible random order, ``place`` from 1."""
-    w = Window.partitionBy(stratum).orderBy(F.xxhash64(*ids, F.lit(seed)), *ids)
+    w = Window.partitionBy(stratum).orderBy(F.md5(F.concat_ws("|", *[F.col(i).cast("string") for i in ids], F.lit(str(seed)))), *ids)
     return rows.withColumn("place", F.row_number().over(w)).where(F.col("place") <= n)
 
 

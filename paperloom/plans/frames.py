@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from paperloom.operators.form_keys import file_key, heading_map
-from paperloom.operators.rules import SECTIONS
+from paperloom.operators.rules import HEAD_RULES, LEFT_RULES, SECTIONS, TAIL_RULES
 from paperloom.plans.cells_sql import HEADINGS, SAME_FILE
 from paperloom.session import written
 from paperloom.tables import read_table
@@ -185,30 +185,45 @@ def form_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def report_words(spark: SparkSession, sf_dir: str, page=None) -> DataFrame:
-    """Labelled words of one report per file of summary_logs, in pixels: two incident codes and a
-    date, the listed persons as a table, a short narrative."""
-    logs = read_table(spark, sf_dir, "summary_logs")
-    page = F.lit(1).cast("bigint") if page is None else page
-    word = lambda section, line, no, text, x0, y0: [
-        F.col("pdf_name").alias("docid"), page.alias("docpg"), line.cast("bigint").alias("line_id"), no.cast("bigint").alias("word_id"), text.alias("text"),
-        x0.cast("bigint").alias("x0"), y0.cast("bigint").alias("y0"), (x0 + 60).cast("bigint").alias("x1"), (y0 + 12).cast("bigint").alias("y1"), F.lit(section).alias("section"), F.lit(0.8).alias("section_conf"),
-    ]
-    def printed(section: str, texts: list[tuple[int, int, str]]) -> DataFrame:
-        rows = F.explode(F.array(*[F.struct(F.lit(a).alias("l"), F.lit(b).alias("c"), F.lit(t).alias("t")) for a, b, t in texts]))
-        base = logs.select("pdf_name", "page_num", rows.alias("r")).dropDuplicates(["pdf_name", "r"])
-        base = base.select("pdf_name", "page_num", "r.*")
-        return base.select(*word(section, F.col("l"), F.col("l") * 50 + F.col("c"), F.col("t"), F.col("c") * 150, F.col("l") * 20))
-
-    incident = printed("incident", [(1, 1, "IUCR"), (1, 2, "0481"), (1, 3, "-"), (1, 4, "BATTERY"), (2, 1, "Occurrence"), (2, 2, "Date"), (2, 3, "01-JAN-2015"), (2, 4, "#12"), (3, 1, "IUCR"), (3, 2, "0482"), (3, 3, "-"), (3, 4, "BATTERY")])
-    heads = printed("personnel", [(10, 2, "StarNo"), (10, 3, "Name"), (10, 4, "Beat")])
-    told = printed("narrative", [(5, 1, "The"), (5, 2, "report"), (6, 1, "ends.")])
-    listed = logs.where("party_name is not null").withColumn("i", F.row_number().over(Window.partitionBy("pdf_name").orderBy("sl_id")))
-    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.coalesce(F.col(n), F.lit("-")).alias("t")) for c, n in ((0, "party_role"), (2, "star_no"), (3, "party_name"), (4, "beat"))]))
-    body = listed.select("pdf_name", "page_num", "i", cells.alias("r")).select("pdf_name", "page_num", "i", "r.*")
-    body = body.select(*word("personnel", F.col("i") + 10, (F.col("i") + 10) * 50 + F.col("c"), F.col("t"), F.col("c") * 150, (F.col("i") + 10) * 20))
-    return incident.unionByName(heads).unionByName(told).unionByName(body)
+    """Labelled words of one report per file of summary_logs, in pixels: its date and a code for each
+    incident place, the listed persons as a table, and the narratives of the file."""
+    logs = read_table(spark, sf_dir, "summary_logs").where("pdf_name is not null").withColumn("docpg", F.lit(1).cast("bigint") if page is None else page)
+    own = ["pdf_name", "docpg"]
+
+    def placed(rows: DataFrame, section: str, line, cells: list[tuple[int, object]]) -> DataFrame:
+        each = rows.select(*own, line.alias("l"), F.inline(F.array(*[F.struct(F.lit(c).alias("c"), t.alias("t")) for c, t in cells])))
+        l, c = F.col("l"), F.col("c")
+        box = [(l * 50 + c, "word_id"), (c * 150, "x0"), (l * 20, "y0"), (c * 150 + 60, "x1"), (l * 20 + 12, "y1")]
+        return each.select(F.col("pdf_name").alias("docid"), "docpg", l.cast("bigint").alias("line_id"), F.col("t").alias("text"), *[v.cast("bigint").alias(n) for v, n in box], F.lit(section).alias("section"), F.lit(0.8).alias("section_conf"))
+
+    day = F.date_format(F.min("loaded_at"), "dd-MM-yyyy")
+    dates = placed(logs.groupBy(*own).agg(day.alias("day")), "incident", F.lit(0), [(1, F.lit("Occurrence")), (2, F.lit("Date")), (3, F.coalesce("day", F.lit("unknown"))), (4, F.lit("#12"))])
+    numbered = lambda which: logs.where(which).withColumn("i", F.row_number().over(Window.partitionBy(*own).orderBy("sl_id")))
+    code = F.lpad((F.col("sl_id") % 10000).cast("string"), 4, "0")
+    codes = placed(numbered("address_of_incident is not null"), "incident", F.col("i"), [(1, F.lit("IUCR")), (2, code), (3, F.lit("-")), (4, F.coalesce("beat", F.lit("NONE")))])
+    heads = placed(logs.select(*own).distinct(), "personnel", F.lit(10), [(2, F.lit("StarNo")), (3, F.lit("Name")), (4, F.lit("Beat"))])
+    body = placed(numbered("party_name is not null"), "personnel", F.col("i") + 10, [(c, F.coalesce(F.col(n), F.lit("-"))) for c, n in ((0, "party_role"), (2, "star_no"), (3, "party_name"), (4, "beat"))])
+    told = read_table(spark, sf_dir, "report_extract").where("narrative is not null").select(F.col("orig_filename").alias("pdf_name"), "narrative").distinct()
+    told = told.withColumn("k", F.row_number().over(Window.partitionBy("pdf_name").orderBy("narrative"))).join(logs.select(*own).distinct(), "pdf_name")
+    told = told.select(*own, "k", F.posexplode(F.filter(F.split("narrative", r"\s+"), lambda w: w != "")).alias("w", "text"))
+    line, at = F.col("k") * 10000 + F.floor(F.col("w") / 8), F.col("w") % 8
+    told = told.select(
+        F.col("pdf_name").alias("docid"), "docpg", line.cast("bigint").alias("line_id"), "text",
+        *[v.cast("bigint").alias(n) for v, n in ((line * 50 + at, "word_id"), (at * 150, "x0"), (line * 20, "y0"), (at * 150 + 60, "x1"), (line * 20 + 12, "y1"))],
+        F.lit("narrative").alias("section"), F.lit(0.8).alias("section_conf"),
+    )
+    return dates.unionByName(codes).unionByName(heads).unionByName(body).unionByName(told)
 
 
+INCIDENTS_SQL = """
+  SELECT pdf_name AS docid, 'Occurrence Date ' || day AS incident_date, CAST(row_number() OVER (PARTITION BY pdf_name ORDER BY sl_id) AS BIGINT) AS iucr_id, 'IUCR ' || lpad(CAST(sl_id % 10000 AS VARCHAR), 4, '0') || ' - ' || coalesce(beat, 'NONE') AS iucr
+  FROM summary_logs JOIN (SELECT pdf_name, coalesce(strftime(min(loaded_at), '%d-%m-%Y'), 'unknown') AS day FROM summary_logs GROUP BY pdf_name) USING (pdf_name) WHERE address_of_incident IS NOT NULL
+"""
+ISSUES_SQL = """
+  SELECT docid, string_agg(DISTINCT issue, '; ' ORDER BY issue) AS suspected_issues FROM (
+    SELECT pdf_name AS docid, 'multiple OCIC reports concatenated' AS issue FROM summary_logs WHERE pdf_name IS NOT NULL GROUP BY pdf_name HAVING count(DISTINCT page_num) > 1
+    UNION ALL SELECT pdf_name, 'unknown page types' FROM summary_logs WHERE pdf_name IS NOT NULL AND party_name IS NOT NULL GROUP BY pdf_name HAVING count(DISTINCT page_num) > 1) GROUP BY docid
+"""
 PERSONNEL_SQL = """
   SELECT pdf_name AS docid, CAST(row_number() OVER (PARTITION BY pdf_name ORDER BY sl_id) AS DOUBLE) AS "row", coalesce(party_role, '-') AS role, coalesce(star_no, '-') AS star_no, party_name AS name,
     NULL::VARCHAR AS "date", NULL::VARCHAR AS unit, coalesce(beat, '-') AS beat FROM summary_logs WHERE party_name IS NOT NULL
@@ -227,9 +242,27 @@ def _laid_out(lines: DataFrame, indent: float) -> DataFrame:
 
 
 def _narrative_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = read_table(spark, sf_dir, "report_extract").where("narrative is not null").dropDuplicates(["docid"])
+    """Each different narrative of each report as a file of its own."""
+    keys = ["docid", "orig_filename", "orig_pg_start", "orig_pg_end", "narrative"]
+    rows = read_table(spark, sf_dir, "report_extract").where("narrative is not null").select(*keys).distinct()
+    rows = rows.withColumn("n", F.row_number().over(Window.partitionBy("docid").orderBy(*keys[1:])))
     name = F.concat(F.regexp_replace("orig_filename", r"\.pdf$", ""), F.format_string("-%04d-%04d.pdf", "orig_pg_start", "orig_pg_end"))
-    return rows.select(F.col("docid").alias("fileid"), name.alias("filename"), F.split(F.replace("narrative", F.lit("\r"), F.lit("")), "\n").alias("body"))
+    return rows.select(F.concat_ws("-", "docid", "n").alias("fileid"), name.alias("filename"), F.split(F.replace("narrative", F.lit("\r"), F.lit("")), "\n").alias("body"))
+
+
+_NARRATIVES_SQL = """
+  SELECT docid || '-' || row_number() OVER (PARTITION BY docid ORDER BY orig_filename, orig_pg_start, orig_pg_end, narrative) AS fileid,
+    regexp_replace(orig_filename, '\\.pdf$', '') || printf('-%04d-%04d.pdf', orig_pg_start, orig_pg_end) AS filename, string_split(replace(narrative, chr(13), ''), chr(10)) AS body
+  FROM (SELECT DISTINCT docid, orig_filename, orig_pg_start, orig_pg_end, narrative FROM report_extract WHERE narrative IS NOT NULL)
+"""
+#: The digest pages of digest_words put together again: the box is on the first page, forty lines; a line left out parts paragraphs.
+DIGESTS_SQL = f"""
+  WITH l AS (SELECT fileid, filename, i, array_to_string(list_filter(regexp_split_to_array(line, ' +'), lambda w: w <> ''), ' ') t
+    FROM (SELECT fileid, filename, unnest(body) line, generate_subscripts(body, 1) i FROM ({_NARRATIVES_SQL}))),
+  k AS (SELECT *, lag(i) OVER (PARTITION BY fileid ORDER BY i) p FROM l WHERE i < 40 AND len(regexp_extract_all(t, '[A-Za-z0-9]')) > 2 AND NOT regexp_matches(t, '^CPD [0-9]+$|^CPD.+Page [0-9]+|^\\(Rev\\.|SEE ATTACHED')),
+  r AS (SELECT *, sum(CASE WHEN p = i - 1 THEN 0 ELSE 1 END) OVER (PARTITION BY fileid ORDER BY i) g FROM k),
+  q AS (SELECT fileid, filename, g, trim(regexp_replace(string_agg(t, ' ' ORDER BY i), '[ \\t\\n\\x0b\\f\\r]+', ' ', 'g')) t FROM r GROUP BY fileid, filename, g)
+  SELECT fileid, nullif(regexp_extract(filename, '^LOG_([0-9]+)-', 1), '') AS cr_id, filename, string_agg(t, chr(10) || chr(10) ORDER BY g) AS text, 1 AS pass_no FROM q GROUP BY fileid, filename"""
 
 
 def digest_words(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -242,3 +275,30 @@ def complaint_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Narratives as web complaints: between the information and the location label."""
     rows = _narrative_lines(spark, sf_dir)
     return _laid_out(rows.select("fileid", "filename", F.concat(F.array(F.lit("WEB Complaint"), F.lit("INFORMATION ABOUT THE INCIDENT")), "body", F.array(F.lit("Location of the incident"), F.lit("unknown"))).alias("lines")), 2.6)
+
+
+def rule_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """id, text: pages as the head, tail and left-margin rules expect them, each rule in turn, with a letter
+    changed on two of three pages. For every row of cr_pdf_pages."""
+    pages = read_table(spark, sf_dir, "cr_pdf_pages").select("id")
+    pattern = F.get(F.array(*[F.lit(t) for t in _RULE_TEXTS]), (F.col("id") % len(_RULE_TEXTS)).cast("int"))
+    at = (F.col("id") % 11).cast("int") + 2
+    slipped = F.concat(F.substring("p", F.lit(1), at - 1), F.lit("q"), F.substring("p", at + 1, F.length("p")))
+    changed = F.when(F.col("id") % 3 == 0, F.col("p")).otherwise(slipped)
+    return pages.select("id", pattern.alias("p")).select("id", changed.alias("text"))
+
+
+def _rule_texts() -> list[str]:
+    """The text of a page for each rule; prose stands around it where the rule allows."""
+    plain = ["Zzyzx wug blicket dax", "Wug dax zzyzx"]
+    heads = ["\n".join([p, *plain, plain[0]]) for p, _ in HEAD_RULES]
+    tails = ["\n".join([*plain, p]) for p, _ in TAIL_RULES]
+    lefts = ["\n".join([*plain, *[f"{p} {plain[1]}" for p in patterns], *plain]) for patterns, _ in LEFT_RULES]
+    return heads + tails + lefts
+
+
+_RULE_TEXTS = _rule_texts()
+_TEXTS_SQL = "[" + ", ".join("'" + t.replace("'", "''").replace("\n", "' || chr(10) || '") + "'" for t in _RULE_TEXTS) + "]"
+RULE_PAGES_SQL = f"""
+  SELECT id, CASE WHEN id % 3 = 0 THEN p ELSE substring(p, 1, id % 11 + 1) || 'q' || substring(p, id % 11 + 3, length(p)) END AS text
+  FROM (SELECT id, ({_TEXTS_SQL})[CAST(id % {len(_RULE_TEXTS)} + 1 AS BIGINT)] AS p FROM cr_pdf_pages)"""

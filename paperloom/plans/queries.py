@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from paperloom.functions import text as tx
 from paperloom.functions.stats import average_rank, distinct_sorted_concat, median_counting_nulls
 from paperloom.operators import attributes, classify, dedupe, features, forms, layout, lines, narratives, records, relational, reports, sequence_model
-from paperloom.operators.rules import HEAD_RULES, LEFT_RULES, LINE_PATTERNS, SECTION_NAMES, TAIL_RULES
+from paperloom.operators.rules import HEAD_RULES, LEFT_RULES, LINE_PATTERNS, SECTION_NAMES, SECTIONS, TAIL_RULES
 from paperloom.plans import cells_sql, frames, source_queries
 from paperloom.tables import read_table
 
@@ -180,18 +180,22 @@ def _left_rule_sql(lines_sql: str) -> str:
     return "CASE " + " ".join(whens) + " END"
 
 
-_CLASSES_SQL = f"""
-  WITH p AS (SELECT row_id, {_LINES.format('text')} AS ls FROM ({frames.PAGES_SQL})),
-  c AS (SELECT row_id, {_first_rule_sql('list_slice(ls, 1, 2)', HEAD_RULES)} AS head, {_first_rule_sql('list_slice(ls, greatest(len(ls) - 1, 1), len(ls))', TAIL_RULES)} AS tail,
+def _classes_sql(pages: str, key: str) -> str:
+    return f"""
+  WITH p AS (SELECT {key}, {_LINES.format('text')} AS ls FROM ({pages})),
+  c AS (SELECT {key}, {_first_rule_sql('list_slice(ls, 1, 2)', HEAD_RULES)} AS head, {_first_rule_sql('list_slice(ls, greatest(len(ls) - 1, 1), len(ls))', TAIL_RULES)} AS tail,
     {_left_rule_sql('ls')} AS left_margin FROM p)
-  SELECT row_id, head, tail, left_margin, coalesce(head, tail, left_margin) AS page_class FROM c"""
-_add("page_classes", lambda s, d: classify.classified_pages(frames.cell_pages(s, d)).drop("text"), _CLASSES_SQL)
+  SELECT {key}, head, tail, left_margin, coalesce(head, tail, left_margin) AS page_class FROM c"""
+
+
+_add("page_classes", lambda s, d: classify.classified_pages(frames.cell_pages(s, d)).drop("text"), _classes_sql(frames.PAGES_SQL, "row_id"))
+_add("rule_page_classes", lambda s, d: classify.classified_pages(frames.rule_pages(s, d)).drop("text"), _classes_sql(frames.RULE_PAGES_SQL, "id"))
 _add("control_numbers", _on("cr_summary_data_temp")(lambda c: c.select("row_id", classify.control_number(
-    F.concat(F.coalesce("text", F.lit("")), F.lit("\n x CPD  00"), (F.col("row_id") % 4).cast("string"), F.lpad((F.col("row_id") * 37 % 100000).cast("string"), 5, "0"), F.lit(" end\nlast"))).alias("control_number"))), """
+    F.concat(F.coalesce("text", F.lit("")), F.lit("\n x CPD"), F.repeat(F.lit(" "), F.col("row_id") % 3), F.lit("00"), (F.col("row_id") % 4).cast("string"), F.lpad((F.col("row_id") * 37 % 100000).cast("string"), 5, "0"), F.lit(" end\nlast"))).alias("control_number"))), """
   SELECT row_id, 'CPD ' AS control_number FROM cr_summary_data_temp WHERE false UNION ALL
   SELECT row_id, list_aggregate(list_slice(regexp_split_to_array(regexp_replace(list_last(list_filter(list_transform(string_split(t, chr(10)), lambda l: trim(l)),
     lambda l: regexp_matches(l, 'CPD {0,2}00[0-3][0-9]{4,6}'))), '^.*CPD 00', 'CPD 00'), '[^CPD0-9]'), 1, 2), 'string_agg', ' ') AS control_number
-  FROM (SELECT row_id, coalesce(text, '') || chr(10) || ' x CPD  00' || (row_id % 4) || lpad(CAST(row_id * 37 % 100000 AS VARCHAR), 5, '0') || ' end' || chr(10) || 'last' AS t FROM cr_summary_data_temp)""")
+  FROM (SELECT row_id, coalesce(text, '') || chr(10) || ' x CPD' || repeat(' ', row_id % 3) || '00' || (row_id % 4) || lpad(CAST(row_id * 37 % 100000 AS VARCHAR), 5, '0') || ' end' || chr(10) || 'last' AS t FROM cr_summary_data_temp)""")
 
 # lines, windows, boxes
 
@@ -212,10 +216,10 @@ _add("group_filters", _on("cr_pdf_pages")(lambda g: g.withColumn("m", F.max("pag
      .where("page_num = m and k = 1").select("id", "pdf_id", "page_num")), """
   SELECT id, pdf_id, page_num FROM cr_pdf_pages WHERE pdf_id IN (SELECT pdf_id FROM cr_pdf_pages GROUP BY pdf_id HAVING count(DISTINCT page_classification) = 1)
     AND (pdf_id, page_num) IN (SELECT pdf_id, max(page_num) FROM cr_pdf_pages GROUP BY pdf_id)""")
-_add("column_islands", lambda s, d: layout.column_islands(frames.document_words(s, d).where("section = 'incident'"), ["docid", "docpg"], 12).groupBy("docid", "docpg", "column_id").agg(F.min("x0").alias("x0"), F.max("x1").alias("x1"), F.count(F.lit(1)).alias("words")), f"""
+_add("column_islands", lambda s, d: layout.column_islands(frames.document_words(s, d), ["docid", "docpg"], 12).groupBy("docid", "docpg", "column_id").agg(F.min("x0").alias("x0"), F.max("x1").alias("x1"), F.count(F.lit(1)).alias("words")), f"""
   SELECT docid, docpg, column_id, min(x0) AS x0, max(x1) AS x1, count(*) AS words FROM (
     SELECT *, CAST(sum(CASE WHEN reach IS NULL OR x0 - reach >= 12 THEN 1 ELSE 0 END) OVER (PARTITION BY docid, docpg ORDER BY x0, x1, word_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS column_id FROM (
-      SELECT *, max(x1) OVER (PARTITION BY docid, docpg ORDER BY x0, x1, word_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM ({frames.WORDS_SQL}) WHERE section = 'incident'))
+      SELECT *, max(x1) OVER (PARTITION BY docid, docpg ORDER BY x0, x1, word_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM ({frames.WORDS_SQL})))
   GROUP BY docid, docpg, column_id""")
 
 
@@ -245,8 +249,9 @@ _add("containment_join", _containment, f"""
 # features
 
 _SIDE = r"[^\p{L}\p{M}\p{Nd}\p{Pc}]"
-_add("pattern_features", lambda s, d: features.pattern_features(frames.heading_lines(s, d).withColumn("text", F.initcap("text"))), None)
 _PATTERNS_SQL = ", ".join(f"CAST(regexp_matches(text, {_text(f'({_SIDE}|^){p}({_SIDE}|$)')}) AS INTEGER) AS {n}" for n, p in LINE_PATTERNS.items())
+_CAPITALS = "array_to_string(list_transform(string_split(lower(text), ' '), lambda w: upper(w[1]) || w[2:]), ' ')"
+_add("pattern_features", lambda s, d: features.pattern_features(frames.heading_lines(s, d).withColumn("text", F.initcap("text"))), f"SELECT docid, docpg, line_id, {_PATTERNS_SQL} FROM (SELECT * REPLACE ({_CAPITALS} AS text) FROM ({frames.HEADING_SQL}))")
 _add("document_patterns", lambda s, d: features.pattern_features(frames.document_page_lines(s, d)), f"SELECT docid, docpg, line_id, {_PATTERNS_SQL} FROM ({frames.LINES_SQL})")
 
 
@@ -323,7 +328,8 @@ _add("normalized_levenshtein", _on("cr_summary_data_temp")(lambda c: c.where("se
     "section_name", F.round(tx.normalized_levenshtein(F.col("section_name"), F.lit("Accused Members")), 9).alias("d"))), """
   SELECT DISTINCT section_name, round(levenshtein(section_name, 'Accused Members') / greatest(length(section_name), 15)::DOUBLE, 9) AS d FROM cr_summary_data_temp WHERE section_name IS NOT NULL""")
 _add("osa_matches", _on("cr_summary_data_temp")(lambda c: c.where("section_name is not null").select("section_name").distinct().where(
-    tx.osa_below(F.col("section_name"), F.lit("Current Allegations"), 3))), None)
+    tx.osa_below(F.col("section_name"), F.lit("Current Allegations"), 3))), """
+  SELECT DISTINCT section_name FROM cr_summary_data_temp WHERE damerau_levenshtein(section_name, 'Current Allegations') < 3""")
 
 # reports and narratives
 
@@ -343,17 +349,19 @@ _add("merged_narratives", _faces, f"""
   FROM ({_VIEW_SQL.format('')}) WHERE column_name IN ('Initial / Intake Allegation', 'Allegation')
   UNION ALL SELECT CAST(r.cr_id AS VARCHAR), r.orig_filename, CASE WHEN r.cr_id % 2 = 0 THEN 'log_summary_digest' ELSE 'web_complaint_detail' END, r.orig_pg_start, r.orig_pg_end, p.doccloud_url, r.narrative
   FROM report_extract r LEFT JOIN cr_pdfs p ON p.filename = r.orig_filename WHERE r.cr_id IS NOT NULL""")
-_add("topical_texts", _on("documents")(lambda x: narratives.topical_texts(x).select("doc_id", F.length("text").cast("bigint").alias("n"))), r"""
-  SELECT doc_id, length(text) AS n FROM documents WHERE length(text) < 30000 AND regexp_matches(lower(text), '(on[\-\s]*going)|(harass)')""")
-_add("stratified_sample", _on("documents")(lambda x: narratives.stratified_sample(x.select("doc_id", "rpt_type"), "rpt_type", ["doc_id"], 35)), None)
+_MATTER = lambda: F.when(F.col("doc_id") % 4 == 0, " It is on - going.").when(F.col("doc_id") % 4 == 1, " She was HARASSED.").when(F.col("doc_id") % 4 == 2, " He went on, going home.").otherwise("")
+_add("topical_texts", _on("documents")(lambda x: narratives.topical_texts(x.withColumn("text", F.concat("text", _MATTER()))).select("doc_id", F.length("text").cast("bigint").alias("n"))), r"""
+  SELECT doc_id, length(text) AS n FROM (SELECT doc_id, text || CASE doc_id % 4 WHEN 0 THEN ' It is on - going.' WHEN 1 THEN ' She was HARASSED.' WHEN 2 THEN ' He went on, going home.' ELSE '' END AS text FROM documents) WHERE length(text) < 30000 AND regexp_matches(lower(text), '(on[\-\s]*going)|(harass)')""")
+_add("stratified_sample", _on("documents")(lambda x: narratives.stratified_sample(x.select("doc_id", "rpt_type"), "rpt_type", ["doc_id"], 35)), """
+  SELECT doc_id, rpt_type, place FROM (SELECT doc_id, rpt_type, CAST(row_number() OVER (PARTITION BY rpt_type ORDER BY md5(doc_id || '|0'), doc_id) AS INTEGER) AS place FROM documents) WHERE place <= 35""")
 _add("short_strata", _on("documents")(lambda x: narratives.short_strata(x, "rpt_type", 60)), """
   SELECT rpt_type, count(*) AS "rows" FROM documents GROUP BY rpt_type HAVING count(*) < 60""")
 _add("nested_round_trip", _on("cr_summary_data_temp")(lambda c: c.where("text is not null").groupBy("pdf_name", "page_num", "section_name").agg(F.collect_list(F.struct("row_id", "column_name", "text")).alias("columns"))
      .select("pdf_name", "page_num", "section_name", F.inline("columns"))), """
   SELECT pdf_name, page_num, section_name, row_id, column_name, text FROM cr_summary_data_temp WHERE text IS NOT NULL""")
-_add("pivot_cells", _on("cr_summary_data_temp")(lambda c: c.where("section_name = 'Accused Members'").groupBy("pdf_name", "row_num").pivot("column_name", ["Role", "Name", "Position", "Status"]).agg(F.min("text"))), """
-  SELECT pdf_name, row_num, min(text) FILTER (column_name = 'Role') AS "Role", min(text) FILTER (column_name = 'Name') AS "Name", min(text) FILTER (column_name = 'Position') AS "Position", min(text) FILTER (column_name = 'Status') AS "Status"
-  FROM cr_summary_data_temp WHERE section_name = 'Accused Members' GROUP BY pdf_name, row_num""")
+_HEADERS = sorted({h for _, headers in SECTIONS for h in headers if h}, key=str.lower)
+_add("pivot_cells", _on("cr_summary_data_temp")(lambda c: c.groupBy("pdf_name", "section_name", "row_num").pivot("column_name", _HEADERS).agg(F.min("text"))),
+     "SELECT pdf_name, section_name, row_num, " + ", ".join(f"min(text) FILTER (column_name = {_text(h)}) AS \"{h}\"" for h in _HEADERS) + " FROM cr_summary_data_temp GROUP BY pdf_name, section_name, row_num")
 
 
 # forms, records and narratives over derived pages (no SQL form: sequential searches, nested JSON)
@@ -363,11 +371,10 @@ _add("form_tables", lambda s, d: forms.form_tables(frames.form_tokens(s, d), _PA
 _add("section_bands", lambda s, d: forms.section_bands(frames.form_tokens(s, d), _PAGE), frames.BANDS_SQL)
 _add("form_documents", lambda s, d: forms.flattened_forms(forms.form_documents(forms.form_tables(frames.form_tokens(s, d), _PAGE), _PAGE), _PAGE), frames.FORM_SQL)
 _add("report_personnel", lambda s, d: records.report_personnel(records.personnel_cells(frames.report_words(s, d))), frames.PERSONNEL_SQL)
-_add("report_incidents", lambda s, d: records.report_incidents(records.incident_lines(frames.report_words(s, d))), """
-  SELECT docid, 'Occurrence Date 01-JAN-2015' AS incident_date, k AS iucr_id, 'IUCR 048' || k || ' - BATTERY' AS iucr FROM (SELECT DISTINCT pdf_name AS docid FROM summary_logs), (SELECT unnest([1, 2]) AS k)""")
+_add("report_incidents", lambda s, d: records.report_incidents(records.incident_lines(frames.report_words(s, d))), frames.INCIDENTS_SQL)
 _add("report_records", lambda s, d: records.report_records(frames.report_words(s, d)), None)
-_add("report_issues", lambda s, d: records.report_issues(frames.report_words(s, d, F.col("page_num").cast("bigint"))), None)
-_add("digest_narratives", lambda s, d: narratives.digest_narratives(frames.digest_words(s, d)), None)
+_add("report_issues", lambda s, d: records.report_issues(frames.report_words(s, d, F.col("page_num").cast("bigint"))), frames.ISSUES_SQL)
+_add("digest_narratives", lambda s, d: narratives.digest_narratives(frames.digest_words(s, d)), frames.DIGESTS_SQL)
 _add("complaint_narratives", lambda s, d: narratives.complaint_narratives(frames.complaint_words(s, d)), None)
 
 
