@@ -7,9 +7,12 @@ Texts of equal words are one class. Each class representative gets ROWS x BANDS
 set of word triples; bands of ROWS minima give candidates; of every minimum one low bit is kept
 and the bits are packed into a signature; candidates whose signatures agree in too few bits,
 after correction for bits that agree by chance, are dropped; the rest is checked exactly. A
-share of 0.7 of the longer text means a Jaccard similarity of at least 0.7 / 1.3 = 0.538, at
-which 80 bands of 4 miss a pair with probability 0.0009; the bit filter stands four standard
-deviations below it.
+share of 0.7 of a longer text without repeated triples means a Jaccard similarity of at least
+0.7 / 1.3 = 0.538, at which 80 bands of 4 miss a pair with probability 0.0009; the bit filter
+stands four standard deviations below it. Where a share d of the longer text's triples are
+distinct, the least similarity is (d - 0.3) / 1.3: 0.5 at d = LEAST_DISTINCT, missed with
+probability 0.006 at worst. Texts below LEAST_DISTINCT get their candidates exactly: of their rarest
+triples as many as make up more than 0.3 of the text, one of which any partner must hold.
 
 Defined results: null texts and texts under LEAST_WORDS words never count; of equally long
 texts either may be the longer one; copies share a class; empty tables give empty results;
@@ -20,7 +23,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperloom.operators.form_keys import resolve_cells
@@ -30,6 +33,10 @@ from paperloom.tables import spread
 
 SHARE, LEAST_WORDS, RUN = 0.7, 32, 3
 ROWS, BANDS = 4, 80
+#: Share of distinct triples below which a text's partners are looked for exactly.
+LEAST_DISTINCT = 0.95
+#: Bits of the map of such texts' triples (2 MB); with more of them more triples pass it, none is lost.
+BITS = 1 << 24
 #: Members from which a bucket is cut into blocks that are compared pair of blocks by pair.
 BLOCK = 256
 #: The statement columns of the form.
@@ -87,12 +94,18 @@ class Sketcher:
             out.append(c)
         return np.array(out, np.uint64)
 
-    def sketch(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+    def triples(self, text: str) -> np.ndarray:
+        """Hashes of the runs of three successive words, with repeats."""
         c, m = self._codes(text.split(" ")), self.mix
         with np.errstate(over="ignore"):
             h = c[:-2] * m[0] + c[1:-1] * m[1] + c[2:] * m[2]
             h ^= h >> np.uint64(31)
-            h = np.unique(h * m[3])
+            return h * m[3]
+
+    def sketch(self, triples: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Band keys and signature of a text's distinct triples."""
+        h, m = triples, self.mix
+        with np.errstate(over="ignore"):
             v = h[None, :] * self.a[:, None] + self.b[:, None]
             v ^= v >> np.uint64(29)
             minima = (v * m[4]).min(axis=1)
@@ -108,15 +121,60 @@ class Sketcher:
 
 
 def sketches(reps: DataFrame) -> DataFrame:
-    """cid, keys (array of BANDS longs), sig (array of longs) of each representative."""
+    """cid, keys (array of BANDS longs), sig (array of longs) of each representative; of texts with many
+    repeats also repeated: their distinct triples, and times: how often each stands there."""
 
     def run(batches):
         s = Sketcher()
         for batch in batches:
-            got = [s.sketch(t) for t in batch["words"]]
-            yield pd.DataFrame({"cid": batch["cid"], "keys": [g[0] for g in got], "sig": [g[1] for g in got]})
-
-    return spread(reps.select("cid", "words")).mapInPandas(run, "cid bigint, keys array<bigint>, sig array<bigint>")
+            keys, sigs, repeated, times = [], [], [], []
+            for text in batch["words"]:
+                all_of = s.triples(text)
+                h, n = np.unique(all_of, return_counts=True)
+                k, g = s.sketch(h)
+                low = len(h) < LEAST_DISTINCT * len(all_of)
+                keys.append(k)
+                sigs.append(g)
+                repeated.append(h.view(np.int64) if low else None)
+                times.append(n if low else None)
+            yield pd.DataFrame({"cid": batch["cid"], "keys": keys, "sig": sigs, "repeated": repeated, "times": times})
+
+    return spread(reps.select("cid", "words")).mapInPandas(run, "cid bigint, keys array<bigint>, sig array<bigint>, repeated array<bigint>, times array<bigint>")
+
+
+def exact_candidates(reps: DataFrame, sk: DataFrame) -> DataFrame:
+    """cid_a < cid_b (distinct): every text that can hold SHARE of a longer text with many repeats."""
+    low = sk.where("repeated is not null").select("cid", F.inline(F.arrays_zip("repeated", "times")).alias("t", "w"))
+    none = low.select(F.col("cid").alias("cid_a"), F.col("cid").alias("cid_b")).where(F.lit(False))
+    cells = BITS // 64
+    cell = F.pmod(F.shiftrightunsigned("t", 6), F.lit(cells)).cast("int")
+    marked = low.groupBy(cell.alias("cell")).agg(F.bit_or(F.expr("shiftleft(1L, cast(t & 63 as int))")).alias("mask")).collect()
+    if not marked:
+        return none
+    bits = np.zeros(cells, np.uint64)
+    bits[np.array([r["cell"] for r in marked])] = np.array([r["mask"] for r in marked], np.int64).view(np.uint64)
+    shared = reps.sparkSession.sparkContext.broadcast(bits)
+
+    def held(batches):
+        s, bits = Sketcher(), shared.value
+        for batch in batches:
+            ids, found, sizes = [], [], []
+            for cid, text in zip(batch["cid"], batch["words"]):
+                all_of = s.triples(text)
+                h = np.unique(all_of)
+                h = h[(bits[(h >> np.uint64(6)) % np.uint64(len(bits))] >> (h & np.uint64(63)) & np.uint64(1)) > 0]
+                ids += [cid] * len(h)
+                found += h.view(np.int64).tolist()
+                sizes += [len(all_of)] * len(h)
+            yield pd.DataFrame({"cid_b": np.array(ids, np.int64), "t": np.array(found, np.int64), "size": np.array(sizes, np.int32)})
+
+    others = written(spread(reps.select("cid", "words")).mapInPandas(held, "cid_b bigint, t bigint, size int"))
+    often = others.groupBy("t").agg(F.count(F.lit(1)).alias("df"))
+    own = Window.partitionBy("cid")
+    ranked = low.join(often, "t").withColumns({"m": F.sum("w").over(own), "through": F.sum("w").over(own.orderBy("df", "t"))})
+    rare = ranked.where(F.col("through") - F.col("w") <= (1 - SHARE) * F.col("m") + 1e-9).select("cid", "t", "m")
+    met = rare.join(others, "t").where((F.col("cid") != F.col("cid_b")) & (F.col("size") <= F.col("m")))
+    return met.select(F.least("cid", "cid_b").alias("cid_a"), F.greatest("cid", "cid_b").alias("cid_b")).distinct()
 
 
 def least_agreeing_bits(share: float = SHARE) -> int:
@@ -190,7 +248,8 @@ def class_links(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(members: row_id, file, cid; links: cid_a, cid_b, share) of statement rows."""
     classed = written(text_classes(rows))
     reps = written(classed.groupBy("cid").agg(F.first("words").alias("words")))
-    links = similar_classes(reps, written(candidates(written(sketches(reps)))))
+    sk = written(sketches(reps))
+    links = similar_classes(reps, written(candidates(sk).unionByName(exact_candidates(reps, sk)).distinct()))
     return classed.select("row_id", "file", "cid"), links
 
 

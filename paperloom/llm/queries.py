@@ -39,16 +39,25 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 _WORDS = "regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')"
-_NEAR_COPIES = f"""
+_STATEMENTS = f"""
   WITH {CELLS},
   st AS (SELECT row_id, pdf_name, {_WORDS} w FROM cells WHERE text IS NOT NULL AND (section_name, column_name) IN (('Accused Members', 'Initial / Intake Allegation'), ('Current Allegations', 'Allegation'),
     ('Incident Finding / Overall Case Finding', 'Description of Incident'))),
-  long AS (SELECT * FROM st WHERE len(w) >= 32),
+  long AS (SELECT * FROM st WHERE len(w) >= 32)"""
+_NEAR_COPIES = f"""{_STATEMENTS},
   tri AS (SELECT row_id, pdf_name, len(w) n, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] t FROM (SELECT *, unnest(range(1, len(w) - 1)) i FROM long)),
   one AS (SELECT DISTINCT row_id, pdf_name, n, t FROM tri),
   hit AS (SELECT a.row_id a, b.row_id b, count(*) / (any_value(a.n) - 2)::DOUBLE share FROM tri a JOIN one b ON a.t = b.t AND a.row_id <> b.row_id AND a.pdf_name <> b.pdf_name AND a.n >= b.n GROUP BY a.row_id, b.row_id)
   SELECT DISTINCT least(a, b) AS row_id_a, greatest(a, b) AS row_id_b FROM hit WHERE share >= 0.7
 """
+_COPY_CLASSES = f"""{_STATEMENTS},
+  cls AS (SELECT min(row_id) cid, w FROM long GROUP BY w),
+  tri AS (SELECT cid, len(w) n, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] t FROM (SELECT *, unnest(range(1, len(w) - 1)) i FROM cls)),
+  one AS (SELECT DISTINCT cid, n, t FROM tri),
+  hit AS (SELECT a.cid a, b.cid b FROM tri a JOIN one b ON a.t = b.t AND a.cid <> b.cid AND a.n >= b.n GROUP BY a.cid, b.cid HAVING count(*) / (any_value(a.n) - 2)::DOUBLE >= 0.7),
+  ends AS (SELECT x, count(DISTINCT y) links FROM (SELECT a x, b y FROM hit UNION SELECT b, a FROM hit) GROUP BY x)
+  SELECT row_id, cid AS class_id, coalesce(links, 0) AS links FROM long JOIN cls USING (w) LEFT JOIN ends ON x = cid
+"""
 
 
 def _runs(key: str, table: str) -> str:
@@ -77,4 +86,4 @@ _CHANGED = f"""
 
 def oracle_sql() -> dict[str, str]:
     """Where SQL can say it; the others are held against brute force in tests/llm."""
-    return {"p4_found": _NEAR_COPIES, "p9_found": _LEAKS, "p9_changed": _CHANGED}
+    return {"p4_found": _NEAR_COPIES, "p4_classes": _COPY_CLASSES, "p9_found": _LEAKS, "p9_changed": _CHANGED}

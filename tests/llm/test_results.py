@@ -113,6 +113,22 @@ def test_hot_bucket_is_cut_into_blocks(spark, monkeypatch):
     assert links.count() == 40 * 39 // 2
 
 
+def test_texts_that_repeat_a_stretch_lose_no_partner(spark):
+    """A longer text that repeats one shared stretch passes the share at a Jaccard of a fifth."""
+    rng = random.Random(9)
+    word = lambda: f"w{rng.randint(0, 5000)}"
+    texts = []
+    for _ in range(25):
+        stretch = [word() for _ in range(12)]
+        texts.append(stretch * 6 + [word() for _ in range(12)])
+        texts.append([word() for _ in range(30)] + stretch + [word() for _ in range(20)])
+    rows = spark.createDataFrame([(i, f"f{i}", " ".join(t), len(t)) for i, t in enumerate(texts)], "row_id long, file string, words string, n_words int")
+    members, links = near_copies.class_links(rows)
+    cid = {r["row_id"]: r["cid"] for r in members.collect()}
+    got = {frozenset((r["cid_a"], r["cid_b"])) for r in links.collect()}
+    assert got == {frozenset((cid[2 * i], cid[2 * i + 1])) for i in range(25)}
+
+
 def test_share_counts_the_longer_text_with_repeats():
     a, b = "a b c a b c a b c x".split(), "a b c a b c".split()
     assert near_copies.share_of_longer(a, b) == pytest.approx(7 / 8)
