@@ -10,8 +10,8 @@ after correction for bits that agree by chance, are dropped; the rest is checked
 share of 0.7 of a longer text without repeated triples means a Jaccard similarity of at least
 0.7 / 1.3 = 0.538, at which 80 bands of 4 miss a pair with probability 0.0009; the bit filter
 stands four standard deviations below it. Where a share d of the longer text's triples are
-distinct, the least similarity is (d - 0.3) / 1.3: 0.5 at d = LEAST_DISTINCT, missed with
-probability 0.006 at worst. Texts below LEAST_DISTINCT get their candidates exactly: of their rarest
+distinct, the least similarity is (d - 0.3) / 1.3: 0.46 at d = LEAST_DISTINCT, missed by bands or bits
+with probability 0.033 at worst. Texts below LEAST_DISTINCT get their candidates exactly: of their rarest
 triples as many as make up more than 0.3 of the text, one of which any partner must hold.
 
 Defined results: null texts and texts under LEAST_WORDS words never count; of equally long
@@ -34,7 +34,7 @@ from paperloom.tables import spread
 SHARE, LEAST_WORDS, RUN = 0.7, 32, 3
 ROWS, BANDS = 4, 80
 #: Share of distinct triples below which a text's partners are looked for exactly.
-LEAST_DISTINCT = 0.95
+LEAST_DISTINCT = 0.9
 #: Bits of the map of such texts' triples (2 MB); with more of them more triples pass it, none is lost.
 BITS = 1 << 24
 #: Members from which a bucket is cut into blocks that are compared pair of blocks by pair.
