@@ -10,8 +10,8 @@ after correction for bits that agree by chance, are dropped; the rest is checked
 share of 0.7 of a longer text without repeated triples means a Jaccard similarity of at least
 0.7 / 1.3 = 0.538, at which 80 bands of 4 miss a pair with probability 0.0009; the bit filter
 stands four standard deviations below it. Where a share d of the longer text's triples are
-distinct, the least similarity is (d - 0.3) / 1.3: 0.46 at d = LEAST_DISTINCT, missed by bands or bits
-with probability 0.033 at worst. Texts below LEAST_DISTINCT get their candidates exactly: of their rarest
+distinct, the least similarity is (d - 0.3) / 1.3: 0.5 at d = LEAST_DISTINCT, missed by bands or bits
+with probability 0.007 at worst. Texts below LEAST_DISTINCT get their candidates exactly: of their rarest
 triples as many as make up more than 0.3 of the text, one of which any partner must hold.
 
 Defined results: null texts and texts under LEAST_WORDS words never count; of equally long
@@ -34,7 +34,7 @@ from paperloom.tables import spread
 SHARE, LEAST_WORDS, RUN = 0.7, 32, 3
 ROWS, BANDS = 4, 80
 #: Share of distinct triples below which a text's partners are looked for exactly.
-LEAST_DISTINCT = 0.9
+LEAST_DISTINCT = 0.95
 #: Bits of the map of such texts' triples (2 MB); with more of them more triples pass it, none is lost.
 BITS = 1 << 24
 #: Members from which a bucket is cut into blocks that are compared pair of blocks by pair.
@@ -158,17 +158,16 @@ def exact_candidates(reps: DataFrame, sk: DataFrame) -> DataFrame:
     def held(batches):
         s, bits = Sketcher(), shared.value
         for batch in batches:
-            ids, found, sizes = [], [], []
-            for cid, text in zip(batch["cid"], batch["words"]):
-                all_of = s.triples(text)
-                h = np.unique(all_of)
+            found, sizes = [], []
+            for text in batch["words"]:
+                h = s.triples(text)
+                sizes.append(len(h))
                 h = h[(bits[(h >> np.uint64(6)) % np.uint64(len(bits))] >> (h & np.uint64(63)) & np.uint64(1)) > 0]
-                ids += [cid] * len(h)
-                found += h.view(np.int64).tolist()
-                sizes += [len(all_of)] * len(h)
-            yield pd.DataFrame({"cid_b": np.array(ids, np.int64), "t": np.array(found, np.int64), "size": np.array(sizes, np.int32)})
+                found.append(np.unique(h).view(np.int64))
+            yield pd.DataFrame({"cid_b": batch["cid"], "ts": found, "size": np.array(sizes, np.int32)})
 
-    others = written(spread(reps.select("cid", "words")).mapInPandas(held, "cid_b bigint, t bigint, size int"))
+    others = written(spread(reps.select("cid", "words")).mapInPandas(held, "cid_b bigint, ts array<bigint>, size int"))
+    others = others.select("cid_b", "size", F.explode("ts").alias("t"))
     often = others.groupBy("t").agg(F.count(F.lit(1)).alias("df"))
     own = Window.partitionBy("cid")
     ranked = low.join(often, "t").withColumns({"m": F.sum("w").over(own), "through": F.sum("w").over(own.orderBy("df", "t"))})
