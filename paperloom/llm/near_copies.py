@@ -11,8 +11,8 @@ share of 0.7 of a longer text without repeated triples means a Jaccard similarit
 0.7 / 1.3 = 0.538, at which 80 bands of 4 miss a pair with probability 0.0009; the bit filter
 stands four standard deviations below it. Where a share d of the longer text's triples are
 distinct, the least similarity is (d - 0.3) / 1.3: 0.5 at d = LEAST_DISTINCT, missed by bands or bits
-with probability 0.007 at worst. Texts below LEAST_DISTINCT get their candidates exactly: of their rarest
-triples as many as make up more than 0.3 of the text, one of which any partner must hold.
+with probability 0.007 at worst. Texts below LEAST_DISTINCT get their candidates exactly: a partner may
+miss 0.3 of the text, so of the rarest triples that make up half of it it must hold the rest.
 
 Defined results: null texts and texts under LEAST_WORDS words never count; of equally long
 texts either may be the longer one; copies share a class; empty tables give empty results;
@@ -171,9 +171,11 @@ def exact_candidates(reps: DataFrame, sk: DataFrame) -> DataFrame:
     often = others.groupBy("t").agg(F.count(F.lit(1)).alias("df"))
     own = Window.partitionBy("cid")
     ranked = low.join(often, "t").withColumns({"m": F.sum("w").over(own), "through": F.sum("w").over(own.orderBy("df", "t"))})
-    rare = ranked.where(F.col("through") - F.col("w") <= (1 - SHARE) * F.col("m") + 1e-9).select("cid", "t", "m")
+    rare = ranked.where(F.col("through") - F.col("w") <= 0.5 * F.col("m")).withColumn("held", F.sum("w").over(own)).select("cid", "t", "w", "m", "held")
     met = rare.join(others, "t").where((F.col("cid") != F.col("cid_b")) & (F.col("size") <= F.col("m")))
-    return met.select(F.least("cid", "cid_b").alias("cid_a"), F.greatest("cid", "cid_b").alias("cid_b")).distinct()
+    # a partner misses at most 1 - SHARE of the text, so it holds the rest of its rarer half
+    enough = met.groupBy("cid", "cid_b", "m", "held").agg(F.sum("w").alias("got")).where(F.col("got") >= F.col("held") - (1 - SHARE) * F.col("m") - 1e-9)
+    return enough.select(F.least("cid", "cid_b").alias("cid_a"), F.greatest("cid", "cid_b").alias("cid_b")).distinct()
 
 
 def least_agreeing_bits(share: float = SHARE) -> int:
