@@ -41,3 +41,16 @@ def map_runs(df: DataFrame, keys: list[str], columns: list[str], rule: Callable[
 
     placed = df.select(*keys, *columns).repartition(waves * cores, *keys).sortWithinPartitions(*keys)
     return placed.mapInPandas(run, schema)
+
+
+def safely(rule: Callable[[tuple, list[tuple]], list[tuple]], width: int) -> Callable[[tuple, list[tuple]], list[tuple]]:
+    """``rule`` for map_runs that never fails: its rows, ``width`` wide, with a null error behind them; or,
+    where it raises, the one row of the key, nulls and the error's text. A failed group doesn't end the job."""
+
+    def guarded(key: tuple, rows: list[tuple]) -> list[tuple]:
+        try:
+            return [(*row, None) for row in rule(key, rows)]
+        except Exception as error:  # whatever the rule raises is a result here
+            return [(*key, *[None] * (width - len(key)), f"{type(error).__name__}: {error}")]
+
+    return guarded

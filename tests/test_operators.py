@@ -5,7 +5,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from paperloom.operators import attributes, classify, dedupe, features, form_keys, forms, layout, lines, narratives, records, relational, sequence_model
-from paperloom.operators.runs import map_runs
+from paperloom.operators.runs import map_runs, safely
 from paperloom.tables import read_table
 
 
@@ -70,6 +70,13 @@ def test_map_runs_groups(spark):
     assert sum(r["n"] for r in got.collect()) == 500 and got.count() == 7
 
 
+def test_failing_groups_give_their_error(spark):
+    rule = lambda key, rows: [(*key, 10 // rows[0][0])]
+    df = spark.createDataFrame([("a", 5), ("b", 0), (None, 2)], "k string, v int")
+    got = {tuple(r) for r in map_runs(df, ["k"], ["v"], safely(rule, 2), "k string, n int, error string").collect()}
+    assert got == {("a", 2, None), (None, 5, None), ("b", None, "ZeroDivisionError: division by zero" if ("b", None, "ZeroDivisionError: division by zero") in got else "ZeroDivisionError: integer division or modulo by zero")}
+
+
 def test_page_rules(spark):
     pages = {
         "head": "AUTO CR - LOG SUMMARY\nx", "fuzzy": "noise\nINCIDENT FINDING / 0verall Case Finding\nrest of it", "tail": "some words here\nmore of them\nCPD-44.126",

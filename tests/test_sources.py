@@ -75,3 +75,46 @@ def test_pages_are_ingested_once(spark, tmp_path):
     run()
     got = {r["page"]: r["page_classification"] for r in spark.read.parquet(f"{tmp_path}/out").collect()}
     assert got == {1: "Mediation Agreement", 2: None} and spark.read.parquet(f"{tmp_path}/out").where(F.col("page") == 1).count() == 1
+
+
+def test_files_are_written_copied_and_listed(spark, tmp_path):
+    rows = spark.createDataFrame([("a b+c.pdf/a b+c.pdf.1.txt", "one"), ("d%20e.pdf/d%20e.pdf.2.txt", "two"), (None, "x"), ("y", None)], "name string, content string")
+    assert sinks.write_files(rows, f"{tmp_path}/f") == 2 and sinks.write_files(rows, f"file://{tmp_path}/f") == 2
+    assert {(r["pdf_name"], r["page"], r["text"]) for r in files.read_page_texts(spark, f"{tmp_path}/f/*/*.txt").collect()} == {("a b+c.pdf", 1, "one"), ("d%20e.pdf", 2, "two")}
+    assert {tuple(r) for r in files.page_files(spark, f"{tmp_path}/f").collect()} == {("a b+c.pdf", 1, "txt"), ("d%20e.pdf", 2, "txt")}
+    assert not [n for _, _, names in os.walk(f"{tmp_path}/f") for n in names if n.startswith(".") and not n.endswith(".crc")]
+    have = spark.createDataFrame([("p.pdf",)], "name string")
+    new = spark.createDataFrame([("p.pdf", "other"), ("q.pdf", "new")], "name string, content string")
+    assert sinks.copy_missing(new, have, f"{tmp_path}/c") == 1 and os.listdir(f"{tmp_path}/c") == ["q.pdf"]
+    assert sinks.write_files(rows.where("false"), f"{tmp_path}/none") == 0
+
+
+def test_workbook_has_a_sheet_per_table(spark, tmp_path):
+    import zipfile
+    from xml.etree import ElementTree
+
+    sinks.write_workbook({"one & two": spark.createDataFrame([(1, "a<b", 2.5, None), (2, None, -1.0, True)], "x int, y string, z double, w boolean"), "none": spark.createDataFrame([], "q string")}, f"{tmp_path}/r.xlsx")
+    with zipfile.ZipFile(f"{tmp_path}/r.xlsx") as book:
+        space = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main"}
+        assert [s.get("name") for s in ElementTree.fromstring(book.read("xl/workbook.xml")).findall(".//m:sheet", space)] == ["one & two", "none"]
+        cells = [["".join(c.itertext()) for c in row] for row in ElementTree.fromstring(book.read("xl/worksheets/sheet1.xml")).findall(".//m:row", space)]
+        assert cells == [["x", "y", "z", "w"], ["1", "a<b", "2.5", ""], ["2", "", "-1.0", "True"]]
+        assert {"[Content_Types].xml", "_rels/.rels", "xl/_rels/workbook.xml.rels", "xl/worksheets/sheet2.xml"} <= set(book.namelist())
+
+
+def test_database_columns_are_read_once_each(spark, tmp_path):
+    url = f"jdbc:derby:{tmp_path}/db;create=true"
+    driver = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+    spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "k int, v string").write.format("jdbc").options(url=url, dbtable="listed", driver=driver).mode("overwrite").save()
+    assert {tuple(r) for r in files.read_database(spark, url, "listed", ["k"], driver=driver).collect()} == {(1,), (2,)}
+
+
+def test_written_tables_are_released(spark, tmp_path):
+    from paperloom.session import release, shared_folder, written
+
+    df = written(spark.range(5))
+    assert df.count() == 5
+    home = f"{shared_folder(spark)}/paperloom-tables-{spark.sparkContext.applicationId}"
+    assert os.path.isdir(home)
+    release(spark)
+    assert not os.path.isdir(home) and written(spark.range(2)).count() == 2
