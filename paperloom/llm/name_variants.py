@@ -170,8 +170,8 @@ SHORT, ABBREVIATED, INITIAL, MOVED, ALONE = 0.1, 0.2, 0.3, 0.05, 0.5
 _NEVER = 1e6
 
 
-def token_cost(a: str, b: str) -> float | None:
-    """Cost of aligning two given or organisation words; None if they can't be the same."""
+def token_cost(a: str, b: str, given: bool = False) -> float | None:
+    """Cost of aligning two given names or organisation words; None if they can't be the same."""
     if a == b:
         return 0.0
     fa, fb = FORMAL.get(a, a), FORMAL.get(b, b)
@@ -180,8 +180,8 @@ def token_cost(a: str, b: str) -> float | None:
     short, long = (fa, fb) if len(fa) <= len(fb) else (fb, fa)
     if len(short) == 1:
         return INITIAL if long[0] == short else None
-    # a whole name, or one that lacks a last vowel, is no abbreviation (Daniel, Daniela)
-    another = short in NICKNAMES or (len(short) == len(long) - 1 and long[-1] in "aeiouy")
+    # a whole given name, or one that lacks a last vowel, is no abbreviation (Daniel, Daniela)
+    another = given and (short in NICKNAMES or (len(short) == len(long) - 1 and long[-1] in "aeiouy"))
     return ABBREVIATED if len(short) >= 3 and long.startswith(short) and not another else None
 
 
@@ -230,7 +230,7 @@ def alignment(a: list[str], b: list[str], fixed_initials: bool = False) -> float
         return ALONE * len(b)
 
     def cost(i: int, k: int) -> float:
-        c = token_cost(a[i], b[k])
+        c = token_cost(a[i], b[k], given=fixed_initials)
         moved = i != k
         if c is None or (fixed_initials and moved and min(len(a[i]), len(b[k])) == 1):
             return _NEVER
