@@ -17,6 +17,7 @@ import os
 from functools import lru_cache
 
 import pandas as pd
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 
 from paperloom.tables import spread
@@ -111,12 +112,14 @@ def token_ids(documents: DataFrame, rank_file: str | None = None) -> DataFrame:
     """doc_id and ids (array<int>) of every row of ``documents``, repeated rows included.
 
     Row by row without a shuffle but one: few large input files are spread over the cores
-    first. ``rank_file`` is a rank file all workers can read.
+    first. ``rank_file`` is a rank file on the driver's machine; it goes to the executors with the job.
     """
     rank_file = rank_file or os.path.join(TOKENIZERS, "byte_bpe_50k.tiktoken")
+    documents.sparkSession.sparkContext.addFile(rank_file)
+    name = os.path.basename(rank_file)
 
     def encode(batches):
-        encoder = _encoder(rank_file)
+        encoder = _encoder(SparkFiles.get(name))
         for batch in batches:
             yield pd.DataFrame({"doc_id": batch["doc_id"], "ids": [encoder.ids(t) for t in batch["text"]]})
 
