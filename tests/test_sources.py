@@ -118,3 +118,17 @@ def test_written_tables_are_released(spark, tmp_path):
     assert os.path.isdir(home)
     release(spark)
     assert not os.path.isdir(home) and written(spark.range(2)).count() == 2
+
+
+def _page_tables(spark, folder, pages):
+    spark.range(1, pages + 1).selectExpr("id", "id AS pdf_id", "2 AS page_num", "'Face Sheet' AS page_classification").write.parquet(f"{folder}/cr_pdf_pages.parquet")
+    spark.range(1, pages + 1).selectExpr("id", "concat(if(id = 1, '_', ''), 'LOG_', id, ' a+b%20.pdf') AS filename").write.parquet(f"{folder}/cr_pdfs.parquet")
+
+
+def test_hocr_files_are_no_names_in_the_driver(spark, tmp_path):
+    from paperloom.plans import queries as core
+
+    _page_tables(spark, tmp_path, 300)
+    got = core.queries()["hocr_files"](spark, str(tmp_path))
+    assert got.inputFiles() == []
+    assert {(r["pdf_name"], r["page"], r["word_id"]) for r in got.collect()} == {(f"{'_' * (i == 1)}LOG_{i} a+b%20.pdf", 2, w) for i in range(1, 301) for w in (1, 2)}
