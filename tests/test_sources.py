@@ -132,3 +132,33 @@ def test_hocr_files_are_no_names_in_the_driver(spark, tmp_path):
     got = core.queries()["hocr_files"](spark, str(tmp_path))
     assert got.inputFiles() == []
     assert {(r["pdf_name"], r["page"], r["word_id"]) for r in got.collect()} == {(f"{'_' * (i == 1)}LOG_{i} a+b%20.pdf", 2, w) for i in range(1, 301) for w in (1, 2)}
+
+
+def test_page_texts_of_patterns_folders_and_files(spark, tmp_path):
+    import gzip
+
+    import pytest
+    from paperloom.plans import queries as core
+
+    _page_tables(spark, f"{tmp_path}/tables", 3)
+    got = core.queries()["page_text_files"](spark, f"{tmp_path}/tables")
+    assert got.inputFiles() == []
+    assert {tuple(r) for r in got.collect()} == {(f"{'_' * (i == 1)}LOG_{i} a+b%20.pdf", 2, f"Face Sheet\n{'_' * (i == 1)}LOG_{i} a+b%20.pdf\n") for i in (1, 2, 3)}
+    for i in range(600):
+        put(f"{tmp_path}/in/one.pdf/one.pdf.{i}.txt", f"text {i}")
+    put(f"{tmp_path}/in/two [x].pdf/two [x].pdf.1.txt", "")
+    put(f"{tmp_path}/in/two [x].pdf/.hidden.txt", "x")
+    put(f"{tmp_path}/in/two [x].pdf/_SUCCESS", "x")
+    put(f"{tmp_path}/in/loose.txt", "x")
+    with open(f"{tmp_path}/in/two [x].pdf/two [x].pdf.2.tsv", "wb") as f:
+        f.write(b"\xe4\r\n")
+    read = lambda path: {tuple(r) for r in files.read_page_texts(spark, path).collect()}
+    ones = {("one.pdf", i, f"text {i}") for i in range(600)}
+    assert read(f"{tmp_path}/in/*/*.txt") == ones | {("two [x].pdf", 1, "")} == read(f"file://{tmp_path}/in/*.pdf/*.{{txt,jpg}}")
+    assert read(f"{tmp_path}/in/o*") == ones and read(f"{tmp_path}/in/two \\[x].pdf/*.[0-1].???") == {("two [x].pdf", 1, "")} == read(f"{tmp_path}/in/two \\[x\\].pdf/two \\[x\\].pdf.1.txt")
+    assert files.read_page_texts(spark, f"{tmp_path}/in/two \\[x\\].pdf").count() == 2 and read(f"{tmp_path}/none/*/*.txt") == set()
+    with gzip.open(f"{tmp_path}/z.txt.gz", "wt") as f:
+        f.write("zipped")
+    assert read(f"{tmp_path}/z.txt.gz") == {("", None, "zipped")}
+    with pytest.raises(Exception, match="FileNotFoundError"):
+        read(f"{tmp_path}/none")
