@@ -162,3 +162,29 @@ def test_page_texts_of_patterns_folders_and_files(spark, tmp_path):
     assert read(f"{tmp_path}/z.txt.gz") == {("", None, "zipped")}
     with pytest.raises(Exception, match="FileNotFoundError"):
         read(f"{tmp_path}/none")
+
+
+def test_token_lines_as_the_csv_reader_has_them(spark, tmp_path):
+    head = "level\tpage_num\tblock_num\tpar_num\tline_num\tword_num\tleft\ttop\twidth\theight\tconf\ttext"
+    row = lambda w, text: f"5\t1\t1\t1\t1\t{w}\t0\t0\t5\t5\t90{text}"
+    put(f"{tmp_path}/a.pdf/a.pdf.1.tsv", " \n\t\n" + head + "\r\n" + row(1, "\t tail ") + "\r\n\r\n   \n" + row(2, "\ta\tmore") + "\r" + row(3, "") + "\n5\t1\n" + row("x", "\tbad") + "\n" + row(4, "\té"))
+    put(f"{tmp_path}/_b.pdf/_b.pdf.2.tsv", head)
+    put(f"{tmp_path}/c.pdf/c.pdf.3.tsv", "")
+    put(f"{tmp_path}/d.pdf/d.pdf.4.tsv", "\n".join([head, *[row(1, f"\tword {i % 7}") for i in (5, 3, 6, 1, 0, 4, 2)]]))
+    tokens, rejects = files.read_tokens(spark, f"{tmp_path}/*/*.tsv")
+    assert tokens.inputFiles() == [] == rejects.inputFiles()
+    got = tokens.orderBy("pdf_name", "seq").collect()
+    assert [(r["page"], r["seq"], r["word_num"], r["text"]) for r in got[:4]] == [(1, 1, 1, " tail "), (1, 2, 2, "a"), (1, 3, 3, ""), (1, 4, 4, "é")]
+    assert [(r["page"], r["seq"], r["text"]) for r in got[4:]] == [(4, i + 1, f"word {i}") for i in range(7)]
+    assert sorted((r["level"], r["word_num"] or "", r["text"] or "") for r in rejects.collect()) == [("5", "", ""), ("5", "x", "bad")]
+
+
+def test_token_queries_over_odd_names(spark, tmp_path):
+    from paperloom.plans import queries as core
+
+    _page_tables(spark, tmp_path, 21)
+    got = core.queries()["token_files"](spark, str(tmp_path))
+    assert got.inputFiles() == []
+    want = {(f"{'_' * (i == 1)}LOG_{i} a+b%20.pdf", s) for i in range(1, 22) for s in (1, 2, 3)}
+    rows = got.collect()
+    assert {(r["pdf_name"], r["text"]) for r in rows if r["line_num"] == 2} == {(n, n) for n, _ in want} and len(rows) == 63
