@@ -188,3 +188,15 @@ def test_token_queries_over_odd_names(spark, tmp_path):
     want = {(f"{'_' * (i == 1)}LOG_{i} a+b%20.pdf", s) for i in range(1, 22) for s in (1, 2, 3)}
     rows = got.collect()
     assert {(r["pdf_name"], r["text"]) for r in rows if r["line_num"] == 2} == {(n, n) for n, _ in want} and len(rows) == 63
+
+
+def test_tokens_without_heads_read_the_files_once(spark, tmp_path):
+    from paperloom.plans import queries as core
+
+    _page_tables(spark, tmp_path, 8)
+    spark.range(1, 9).selectExpr("id", "id AS pdf_id", "2 AS page_num", "if(id % 2 = 0, 'Face Sheet', null) AS page_classification").write.mode("overwrite").parquet(f"{tmp_path}/cr_pdf_pages.parquet")
+    got = core.queries()["tokens_without_heads"](spark, str(tmp_path))
+    assert got.inputFiles() and all(f.endswith(".parquet") for f in got.inputFiles())
+    name = lambda i: f"{'_' * (i == 1)}LOG_{i} a+b%20.pdf"
+    want = {(name(i), 3 if i % 2 == 0 else 6, name(i)) for i in range(1, 9)} | {(name(i), s, w) for i in (2, 4, 6, 8) for s, w in ((1, "Face"), (2, "Sheet"))}
+    assert {(r["pdf_name"], r["seq"] - 1, r["text"]) for r in got.collect()} == want
