@@ -200,3 +200,12 @@ def test_tokens_without_heads_read_the_files_once(spark, tmp_path):
     name = lambda i: f"{'_' * (i == 1)}LOG_{i} a+b%20.pdf"
     want = {(name(i), 3 if i % 2 == 0 else 6, name(i)) for i in range(1, 9)} | {(name(i), s, w) for i in (2, 4, 6, 8) for s, w in ((1, "Face"), (2, "Sheet"))}
     assert {(r["pdf_name"], r["seq"] - 1, r["text"]) for r in got.collect()} == want
+
+
+def test_token_rejects_of_all_files(spark, tmp_path):
+    from paperloom.plans import queries as core
+
+    _page_tables(spark, tmp_path, 70)
+    got = core.queries()["token_rejects"](spark, str(tmp_path))
+    assert got.inputFiles() == []
+    assert sorted(tuple(r) for r in got.collect()) == sorted((f"LOG_{i} a+b%20.pdf", 2, "much", "unsure") for i in range(7, 71, 7))
