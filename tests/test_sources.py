@@ -209,3 +209,12 @@ def test_token_rejects_of_all_files(spark, tmp_path):
     got = core.queries()["token_rejects"](spark, str(tmp_path))
     assert got.inputFiles() == []
     assert sorted(tuple(r) for r in got.collect()) == sorted((f"LOG_{i} a+b%20.pdf", 2, "much", "unsure") for i in range(7, 71, 7))
+
+
+def test_token_lines_are_split_once(spark, tmp_path):
+    head = "level\tpage_num\tblock_num\tpar_num\tline_num\tword_num\tleft\ttop\twidth\theight\tconf\ttext\n"
+    put(f"{tmp_path}/a.pdf/a.pdf.3.tsv", head + "5\t1\t1\t1\t1\t1\t9\t0\t5\t5\t90\tgood\n5\t1\t1\t1\t1\t2\t0\t0\t5\t5\tmuch\tbad\n5\t1\n")
+    tokens, rejects = files.read_tokens(spark, f"{tmp_path}/a.pdf/*.tsv")
+    assert [df._jdf.queryExecution().optimizedPlan().toString().count(", \t, -1)") for df in (tokens, rejects)] == [1, 1]
+    assert [(r["conf"], r["text"]) for r in tokens.collect()] == [(90, "good")]
+    assert sorted((r["level"], r["conf"] or "", r["text"] or "") for r in rejects.collect()) == [("5", "", ""), ("5", "much", "bad")]
